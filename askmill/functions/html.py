@@ -14,17 +14,24 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from askmill.functions.text import decode_entities, join_parts, strip_tags, strip_text
+from askmill.functions.text import (
+    bound,
+    decode_entities,
+    join_parts,
+    strip_tags,
+    strip_text,
+)
 
 _NOT_MARKUP = (
-    r"(?is)<!--.*?(?:-->|\z)"
-    r"|<script\b.*?(?:</script\s*>|\z)"
-    r"|<style\b.*?(?:</style\s*>|\z)"
+    r"(?is)<(?:!--.*?(?:-->|\z)"
+    r"|script\b.*?(?:</script\s*>|\z)"
+    r"|style\b.*?(?:</style\s*>|\z))"
 )
 _P_OPEN = r"(?i)<p(?:\s[^>]*)?>"
 _P_CLOSE = r"(?i)</p\s*>"
-_BLOCK_CLOSE = (
-    r"(?i)</(?:article|aside|body|div|footer|header|html|main|nav|section|td)\s*>"
+_FROM_P_CLOSE = r"(?is)</p\s*>.*\z"
+_FROM_BLOCK_CLOSE = (
+    r"(?is)</(?:article|aside|body|div|footer|header|html|main|nav|section|td)\s*>.*\z"
 )
 _HREF = r"""(?is)<[a-z][^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 _META = r"(?is)<meta\b[^>]*>"
@@ -46,15 +53,19 @@ def paragraphs(markup: Column) -> Column:
     A paragraph ends at its end tag, or at the next paragraph's start tag if that comes
     first, so no text is given twice. An unclosed one ends with the block around it.
     """
-    after_open = F.split(markup, _P_OPEN, -1)
-    pieces = F.slice(after_open, F.lit(2), F.size(after_open))
+    pieces = F.filter(F.split(markup, _P_OPEN, -1), lambda piece, place: place > 0)
+
+    def cut(piece: Column) -> Column:
+        closed = F.when(piece.rlike(_P_CLOSE), F.regexp_replace(piece, _FROM_P_CLOSE, ""))
+        return closed.otherwise(F.regexp_replace(piece, _FROM_BLOCK_CLOSE, ""))
 
-    def body(piece: Column) -> Column:
-        closed = F.split(piece, _P_CLOSE, 2)
-        cut = F.when(F.size(closed) > 1, closed[0]).otherwise(F.split(piece, _BLOCK_CLOSE, 2)[0])
-        return strip_text(text_of(cut))
+    def decode(text: Column) -> Column:
+        return F.when(text.contains("&"), decode_entities(text)).otherwise(text)
 
-    return F.transform(pieces, body)
+    # One transform to a step: a lambda that uses its argument twice must not repeat the
+    # step before it.
+    bare = F.transform(F.transform(pieces, cut), strip_tags)
+    return F.transform(F.transform(bare, decode), strip_text)
 
 
 def paragraph_text(markup: Column) -> Column:
@@ -137,23 +148,34 @@ def _inner_markup(markup: Column, open_pattern: str) -> Column:
     at every end tag of that name; the element ends with the piece that brings the depth
     back to zero. Null where no tag matches.
     """
-    open_tag = F.regexp_extract(markup, open_pattern, 0)
-    name = F.lower(F.regexp_extract(markup, open_pattern, 1))
-    rest = F.substr(markup, F.instr(markup, open_tag) + F.length(open_tag))
-    pieces = F.split(rest, F.concat(F.lit("(?i)</"), name, F.lit(r"\s*>")), -1)
-    nested = F.concat(F.lit("(?i)<"), name, F.lit(r"(?:[\s/][^>]*)?>"))
-
-    def step(state: Column, piece: Column) -> Column:
-        depth = state["depth"] + F.regexp_count(piece, nested) - 1
-        return F.when(state["depth"] == 0, state).otherwise(
-            F.struct(depth.alias("depth"), (state["taken"] + 1).alias("taken"))
-        )
-
     start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("taken"))
-    taken = F.aggregate(pieces, start, step)["taken"]
-    end_tag = F.concat(F.lit("</"), name, F.lit(">"))
-    inner = F.call_function("array_join", F.slice(pieces, F.lit(1), taken), end_tag)
-    return F.when(open_tag != "", inner)
+
+    def inner(open_tag: Column) -> Column:
+        name = F.lower(F.regexp_extract(open_tag, r"^<([a-zA-Z][a-zA-Z0-9]*)", 1))
+        rest = F.substr(markup, F.instr(markup, open_tag) + F.length(open_tag))
+        balanced = bound(name, lambda tag: bound(F.split(rest, _end_of(tag), -1), _up_to(tag)))
+        return F.when(open_tag != "", balanced)
+
+    def _end_of(tag: Column) -> Column:
+        return F.concat(F.lit("(?i)</"), tag, F.lit(r"\s*>"))
+
+    def _up_to(tag: Column):
+        nested = F.concat(F.lit("(?i)<"), tag, F.lit(r"(?:[\s/][^>]*)?>"))
+        end_tag = F.concat(F.lit("</"), tag, F.lit(">"))
+
+        def step(state: Column, piece: Column) -> Column:
+            depth = state["depth"] + F.regexp_count(piece, nested) - 1
+            return F.when(state["depth"] == 0, state).otherwise(
+                F.struct(depth.alias("depth"), (state["taken"] + 1).alias("taken"))
+            )
+
+        def join(pieces: Column) -> Column:
+            taken = F.aggregate(pieces, start, step)["taken"]
+            return F.call_function("array_join", F.slice(pieces, F.lit(1), taken), end_tag)
+
+        return join
+
+    return bound(F.regexp_extract(markup, open_pattern, 0), inner)
 
 
 def element_by_tag(markup: Column, tag: str) -> Column:

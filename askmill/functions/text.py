@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Every character that Unicode counts as white space: the ASCII controls and space, NEL,
-# and the space, line and paragraph separators. SQL trim() knows the plain space alone.
-_SPACE = r"[\t-\r\x{1c}-\x{20}\x{85}\p{Z}]"
-_EDGES = rf"^{_SPACE}+|{_SPACE}+\z"
+# Every character that Unicode counts as white space. SQL trim() removes the
+# plain space alone unless it is told otherwise.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 _TAG = r"</?[a-zA-Z!?][^>]*>"
 
@@ -28,9 +31,18 @@ _ENTITIES = {
 }
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, however often the body uses it.
+
+    An expression used several times inside another is otherwise copied into it, and
+    copies of copies multiply.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def strip_text(text: Column) -> Column:
     """Remove Unicode white space from both ends."""
-    return F.regexp_replace(text, _EDGES, "")
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def strip_tags(markup: Column) -> Column:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from askmill.functions.text import bound
+
 # Path patterns and markers of question-and-answer URLs.
 ANSWER_PATH = r"/question/\d+/answer/\d+"
 QUESTION_PART = "/question/"
@@ -165,5 +167,5 @@ def resolve_url(href: Column, page_url: Column) -> Column:
         .when(href == "", no_fragment)
         .otherwise(F.concat(folder, href))
     )
-    has_dots = joined.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^?#]*/\.\.?(/|\?|#|\z)")
-    return F.when(has_dots, _without_dot_parts(joined)).otherwise(joined)
+    dots = r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^?#]*/\.\.?(/|\?|#|\z)"
+    return bound(joined, lambda u: F.when(u.rlike(dots), _without_dot_parts(u)).otherwise(u))

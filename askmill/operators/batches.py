@@ -86,6 +86,17 @@ def assign_buckets(frame: DataFrame, buckets: DataFrame, order: Sequence[str]) -
     return placed.join(side, "_bucket").withColumnRenamed("_bucket", "bucket")
 
 
+def spread(frame: DataFrame) -> DataFrame:
+    """Deal a scan of few partitions evenly over the cores; leave a larger one in place.
+
+    For costly work per row on inputs stored in few files or row groups. A scan with at
+    least two partitions to each core keeps all cores busy as it is and is not shuffled.
+    Meant for plain scans: asking a frame with a shuffle for its partitions runs it.
+    """
+    wanted = 2 * frame.sparkSession.sparkContext.defaultParallelism
+    return frame if frame.rdd.getNumPartitions() >= wanted else frame.repartition(wanted)
+
+
 def hash_bucket(frame: DataFrame, keys: Sequence[str], count: int, name: str = "bucket") -> DataFrame:
     """Give each row a bucket by its key, for when its place in an order does not matter."""
     return frame.withColumn(name, F.pmod(F.xxhash64(*keys), F.lit(count)).cast("int"))

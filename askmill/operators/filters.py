@@ -25,3 +25,14 @@ def with_reject_reason(frame: DataFrame, reasons: dict[str, Column]) -> DataFram
     """
     reason = F.coalesce(*[F.when(test, F.lit(name)) for name, test in reasons.items()])
     return frame.withColumn("reject_reason", reason)
+
+
+def computed_once(frame: DataFrame) -> DataFrame:
+    """The same rows, with every column computed before any later filter looks at it.
+
+    The optimizer moves a filter below the projection it follows by repeating the
+    projection's expressions in the filter. For parsed pages that means parsing each page
+    again for every condition. Passing the row through a generator keeps the filter above.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in frame.columns])
+    return frame.select(F.inline(F.array(row)))

@@ -11,7 +11,7 @@ from askmill.functions import html as H
 from askmill.functions import urls as U
 from askmill.functions.text import remove_literal
 from askmill.operators.dedup import keep_first
-from askmill.operators.filters import with_reject_reason
+from askmill.operators.filters import computed_once, with_reject_reason
 from askmill.plans.links import extract_links
 from askmill.schemas import ANSWERS
 from askmill.sinks import create_table_as, export_parquet
@@ -75,7 +75,8 @@ def read_answers(pages: DataFrame, site: str) -> DataFrame:
         "no votes": F.col("upvotes").isNull(),
         "no author": F.col("author_id").isNull() | F.col("_author_unreadable"),
     }
-    return with_reject_reason(read, reasons).drop("_status", "_author_unreadable")
+    judged = with_reject_reason(read, reasons).drop("_status", "_author_unreadable")
+    return computed_once(judged)
 
 
 def extract_answers(pages: DataFrame, site: str) -> tuple[DataFrame, DataFrame]:

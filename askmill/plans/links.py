@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from askmill.functions import html as H
 from askmill.functions import urls as U
 from askmill.operators.dedup import keep_first
+from askmill.operators.filters import computed_once
 from askmill.operators.joins import without_keys
 
 # The page regions that hold a question's title and its answer links.
@@ -18,7 +19,7 @@ ANSWERS_CLASS = "Question-main"
 def _resolved(found: DataFrame, *keep: Column | str) -> DataFrame:
     """Links made absolute against the page's URL; those without ``https://`` go."""
     links = found.select(*keep, U.resolve_url(F.col("_href"), F.col("_page")).alias("href"))
-    return links.where(F.col("href").contains(U.SECURE_SCHEME))
+    return computed_once(links).where(F.col("href").contains(U.SECURE_SCHEME))
 
 
 def page_links(pages: DataFrame, *keep: str) -> DataFrame:
@@ -103,12 +104,15 @@ def answer_links(question_pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     cut = question_pages.select(
         "topic_url", "question_id", "url", H.markup_only(F.col("html")).alias("markup")
     )
-    listed = cut.select(
+    read = cut.select(
         "topic_url",
         "question_id",
         F.col("url").alias("_page"),
         H.text_by_class(F.col("markup"), TITLE_CLASS).alias("question_title"),
-        F.explode(H.hrefs(H.element_by_class(F.col("markup"), ANSWERS_CLASS))).alias("_href"),
+        H.element_by_class(F.col("markup"), ANSWERS_CLASS).alias("_region"),
+    )
+    listed = read.select(
+        "topic_url", "question_id", "question_title", "_page", F.explode(H.hrefs(F.col("_region"))).alias("_href")
     )
     found = _resolved(listed, "topic_url", "question_id", "question_title")
     found = found.where(

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from askmill.operators.batches import spread
+
 
 def read_parquet(
     spark: SparkSession, path: str | list[str], columns: Sequence[str] | None = None
@@ -26,6 +28,12 @@ def query_frame(spark: SparkSession, sql: str, **frames: DataFrame) -> DataFrame
     return spark.sql(sql, **frames)
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed HTML pages: at least ``url`` and ``html``, with ``status`` where recorded."""
-    return spark.read.parquet(path)
+def read_pages(
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Landed HTML pages: at least ``url`` and ``html``, with ``status`` where recorded.
+
+    Parsing costs far more than reading, so pages stored in a few row groups are dealt
+    over the cores first.
+    """
+    return spread(read_parquet(spark, path, columns))

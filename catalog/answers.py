@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from askmill.plans import answers as A
 from askmill.plans import links as L
-from catalog.registry import SITE, query, table
+from catalog.registry import SITE, pages_table, query, table
 
 
 def _escaped(text: Column) -> Column:
@@ -23,7 +23,7 @@ def document_pages(spark: SparkSession, folder: str) -> DataFrame:
     Long documents carry two dates, short ones none. Some sources lack an author, some a
     vote button; one language answers with status 404.
     """
-    documents = table(spark, folder, "documents")
+    documents = pages_table(spark, folder, "documents")
     paragraphs = F.array_join(
         F.transform(
             F.split("text", "\n", -1),

@@ -9,7 +9,7 @@ from askmill.functions import html as H
 from askmill.functions.text import decode_all_entities
 from askmill.operators.counts import distinct_count_by
 from askmill.plans.links import page_links, region_links, roundtable_links, topic_links
-from catalog.registry import query, table
+from catalog.registry import pages_table, query
 
 _CUT = (
     r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)"
@@ -71,14 +71,14 @@ FROM pieces
 )
 def page_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
     """All paragraphs of a page joined by one space."""
-    cut = table(spark, folder, "pages").select("page_id", H.markup_only(F.col("html")).alias("m"))
+    cut = pages_table(spark, folder).select("page_id", H.markup_only(F.col("html")).alias("m"))
     return cut.select("page_id", H.paragraph_text(F.col("m")).alias("content"))
 
 
 @query()
 def page_paragraphs_nested(spark: SparkSession, folder: str) -> DataFrame:
     """Paragraphs under tree rules, where open paragraphs nest; checked in the tests."""
-    return table(spark, folder, "pages").select(
+    return pages_table(spark, folder).select(
         "page_id", H.nested_paragraph_text(F.col("html")).alias("content")
     )
 
@@ -94,7 +94,7 @@ FROM cut
 )
 def page_titles(spark: SparkSession, folder: str) -> DataFrame:
     """Text of the title, the heading, and the first element of a class."""
-    cut = table(spark, folder, "pages").select("page_id", H.markup_only(F.col("html")).alias("m"))
+    cut = pages_table(spark, folder).select("page_id", H.markup_only(F.col("html")).alias("m"))
     return cut.select(
         "page_id",
         H.text_by_tag(F.col("m"), "title").alias("title"),
@@ -113,7 +113,7 @@ FROM cut
 )
 def page_footers(spark: SparkSession, folder: str) -> DataFrame:
     """Footer text with every named entity decoded."""
-    cut = table(spark, folder, "pages").select("page_id", H.markup_only(F.col("html")).alias("m"))
+    cut = pages_table(spark, folder).select("page_id", H.markup_only(F.col("html")).alias("m"))
     footer = H.text_by_tag(F.col("m"), "footer")
     return cut.select("page_id", decode_all_entities(footer).alias("footer"))
 
@@ -121,13 +121,13 @@ def page_footers(spark: SparkSession, folder: str) -> DataFrame:
 @query(MARKUP + _links("m"))
 def page_hrefs(spark: SparkSession, folder: str) -> DataFrame:
     """All links of a page, made absolute; those without ``https://`` dropped."""
-    return page_links(table(spark, folder, "pages"), "page_id", "url")
+    return page_links(pages_table(spark, folder), "page_id", "url")
 
 
 @query(MARKUP + _links("regexp_extract(m, '(?is)<nav>(.*?)</nav>', 1)"))
 def nav_links(spark: SparkSession, folder: str) -> DataFrame:
     """The links inside the navigation element."""
-    return region_links(table(spark, folder, "pages"), "page_id", "url", tag="nav")
+    return region_links(pages_table(spark, folder), "page_id", "url", tag="nav")
 
 
 @query(
@@ -141,7 +141,7 @@ WHERE contains(href, '.net/')
 )
 def topic_link_table(spark: SparkSession, folder: str) -> DataFrame:
     """Distinct links under a prefix with the category of the page they are on."""
-    pages = table(spark, folder, "pages").withColumn(
+    pages = pages_table(spark, folder).withColumn(
         "category", F.regexp_extract("url", "/(en|fr|de|es)/", 1)
     )
     return topic_links(pages, ".net/")
@@ -152,7 +152,7 @@ def topic_link_table(spark: SparkSession, folder: str) -> DataFrame:
 )
 def roundtable_link_table(spark: SparkSession, folder: str) -> DataFrame:
     """Links under a prefix as they occur."""
-    return roundtable_links(table(spark, folder, "pages"), ".org/")
+    return roundtable_links(pages_table(spark, folder), ".org/")
 
 
 @query(
@@ -161,5 +161,5 @@ def roundtable_link_table(spark: SparkSession, folder: str) -> DataFrame:
 )
 def topic_unique_links(spark: SparkSession, folder: str) -> DataFrame:
     """Distinct links per page URL."""
-    links = page_links(table(spark, folder, "pages"), "url").withColumnRenamed("url", "topic_url")
+    links = page_links(pages_table(spark, folder), "url").withColumnRenamed("url", "topic_url")
     return distinct_count_by(links, ["topic_url"], "href", "links")

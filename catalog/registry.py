@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from askmill.sources import read_pages
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -26,3 +28,8 @@ def query(sql: str | None = None):
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def pages_table(spark: SparkSession, folder: str, name: str = "pages") -> DataFrame:
+    """A table of long texts, dealt over the cores where it is stored in few row groups."""
+    return read_pages(spark, f"{folder}/{name}.parquet")
