@@ -58,7 +58,12 @@ def decode_entities(text: Column) -> Column:
 
 
 def decode_all_entities(text: Column) -> Column:
-    """Decode every named and numeric HTML entity, in Arrow batches."""
+    """Decode every named and numeric HTML entity, in Arrow batches.
+
+    Python functions are not run on the result of a higher-order function, such as an
+    extracted element, within one projection: pass a frame of such columns through
+    ``computed_once`` first.
+    """
 
     @F.pandas_udf("string")
     def unescape(values: pd.Series) -> pd.Series:
@@ -66,7 +71,7 @@ def decode_all_entities(text: Column) -> Column:
 
         return values.map(html.unescape, na_action="ignore")
 
-    return F.when(text.contains("&"), unescape(text)).otherwise(text)
+    return unescape(text)
 
 
 def remove_literal(text: Column, literals: Sequence[str]) -> Column:

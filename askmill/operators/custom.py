@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from askmill.operators.filters import computed_once
+
 
 def apply_value(
     frame: DataFrame, column: str, function: Callable, result_type: str, name: str | None = None
@@ -18,7 +20,7 @@ def apply_value(
         return values.map(function, na_action="ignore")
 
     apply = F.pandas_udf(whole_batch, result_type)
-    return frame.withColumn(name or column, apply(F.col(f"`{column}`")))
+    return computed_once(frame).withColumn(name or column, apply(F.col(f"`{column}`")))
 
 
 def map_batches(

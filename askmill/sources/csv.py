@@ -145,12 +145,15 @@ def split_rejects(frame: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def unread_files(spark: SparkSession, path: str, frame: DataFrame, glob: str = "*.csv") -> DataFrame:
-    """Files of the folder from which no row came: empty or unreadable ones."""
-    listed = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .load(path)
-        .select(F.col("_metadata.file_path").alias("file"))
-    )
-    seen = frame.select(F.col(FILE_COLUMN).alias("file")).distinct()
-    return listed.join(seen, "file", "left_anti")
+    """Files of the folder from which no row came: empty or unreadable ones.
+
+    File names pass through the driver, which has listed them for the scan in any case.
+    """
+    names = spark.read.option("pathGlobFilter", glob).text(path).inputFiles()
+    listed = spark.createDataFrame([(name,) for name in names], "file string")
+    seen = frame.select(F.col(FILE_COLUMN).alias("seen")).distinct()
+
+    def one_form(name: str) -> Column:
+        return F.regexp_replace(name, r"^([a-z0-9]+):/+", "$1:/")
+
+    return listed.join(seen, one_form("file") == one_form("seen"), "left_anti")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from askmill.functions import html as H
 from askmill.functions.text import decode_all_entities
 from askmill.operators.counts import distinct_count_by
+from askmill.operators.filters import computed_once
 from askmill.plans.links import page_links, region_links, roundtable_links, topic_links
 from catalog.registry import pages_table, query
 
@@ -114,8 +115,8 @@ FROM cut
 def page_footers(spark: SparkSession, folder: str) -> DataFrame:
     """Footer text with every named entity decoded."""
     cut = pages_table(spark, folder).select("page_id", H.markup_only(F.col("html")).alias("m"))
-    footer = H.text_by_tag(F.col("m"), "footer")
-    return cut.select("page_id", decode_all_entities(footer).alias("footer"))
+    read = computed_once(cut.select("page_id", H.text_by_tag(F.col("m"), "footer").alias("footer")))
+    return read.select("page_id", decode_all_entities(F.col("footer")).alias("footer"))
 
 
 @query(MARKUP + _links("m"))
