@@ -89,6 +89,11 @@ def question_id_text(url: Column) -> Column:
     return path_part(without_write_suffix(url), -3)
 
 
+def any_question_id(url: Column) -> Column:
+    """The question id of any question link, with or without an answer part."""
+    return to_long(F.regexp_extract(url, r"/question/(\d+)", 1))
+
+
 def link_question_id(url: Column) -> Column:
     return to_long(without_fragment_mark(path_part(url, -3)))
 

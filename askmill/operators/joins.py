@@ -92,18 +92,21 @@ def join_splitting_hot_keys(
     few: DataFrame,
     many_key: str,
     few_key: str,
+    how: str = "inner",
     pieces: int = 64,
     share: float = HOT_SHARE,
 ) -> DataFrame:
-    """Inner join in which each hot key of ``many`` is dealt over ``pieces`` tasks.
+    """Join in which each hot key of ``many`` is dealt over ``pieces`` tasks.
 
-    Rows of ``few`` are repeated for the hot keys only, once per piece. Every pair of rows
-    meets once, as in the plain join. The columns of ``many`` come first; names must not
-    overlap.
+    Rows of ``few`` are repeated for the hot keys only, once per piece, so every pair of
+    rows meets once, as in the plain join; ``how`` is inner, left, left_semi or left_anti.
+    The columns of ``many`` come first; names must not overlap.
     """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"rows of the repeated side would come out more than once: {how}")
     hot = hot_keys(many, many_key, share)
     if not hot:
-        return many.join(few, many[f"`{many_key}`"] == few[f"`{few_key}`"])
+        return many.join(few, many[f"`{many_key}`"] == few[f"`{few_key}`"], how)
     dealt = F.when(
         _quoted(many_key).isin(hot),
         F.pmod(F.xxhash64(*[_quoted(c) for c in many.columns]), F.lit(pieces)),
@@ -114,7 +117,7 @@ def join_splitting_hot_keys(
     ).otherwise(F.array(F.lit(0)))
     right = few.withColumn("_few_piece", F.explode(repeats))
     same_key = left[f"`{many_key}`"] == right[f"`{few_key}`"]
-    joined = left.join(right, same_key & (left["_piece"] == right["_few_piece"]))
+    joined = left.join(right, same_key & (left["_piece"] == right["_few_piece"]), how)
     return joined.drop("_piece", "_few_piece")
 
 
@@ -131,6 +134,11 @@ def without_keys(frame: DataFrame, held: DataFrame, keys: dict[str, str]) -> Dat
     return frame.join(taken, condition, "left_anti")
 
 
+def key_difference(frame: DataFrame, held: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The distinct keys of ``frame`` that ``held`` lacks; a null equals a null here."""
+    return frame.select(*keys).subtract(held.select(*keys))
+
+
 def lookup(frame: DataFrame, values: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add the columns of ``values`` by key; a key without an entry gives nulls.
 

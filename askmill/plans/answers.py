@@ -123,13 +123,14 @@ def topics_to_answers(
     landed_answers: DataFrame,
     site: str,
     viewed: DataFrame | None = None,
+    any_question: bool = False,
 ) -> DataFrame:
     """Answer records reached from topic pages in one pass.
 
     ``landed_answers`` has ``question_id``, ``answer_id`` and ``html``; the question title
-    comes from the question page.
+    comes from the question page. ``any_question`` is as in ``extract_links``.
     """
-    links, _ = extract_links(topic_pages, question_pages, viewed)
+    links, _ = extract_links(topic_pages, question_pages, viewed, any_question)
     wanted = links.select(
         F.col("qId").alias("question_id"), F.col("aid").alias("answer_id"), "question_title"
     )

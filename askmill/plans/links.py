@@ -14,6 +14,7 @@ from askmill.operators.joins import without_keys
 # The page regions that hold a question's title and its answer links.
 TITLE_CLASS = "QuestionHeader-title"
 ANSWERS_CLASS = "Question-main"
+ANSWER_LIST_CLASS = "QuestionAnswers-answers"
 
 
 def _resolved(found: DataFrame, *keep: Column | str) -> DataFrame:
@@ -75,18 +76,21 @@ def question_links(topic_pages: DataFrame, any_question: bool = False) -> DataFr
     ).distinct()
 
 
-def new_questions(links: DataFrame, viewed: DataFrame | None = None) -> DataFrame:
+def new_questions(
+    links: DataFrame, viewed: DataFrame | None = None, any_question: bool = False
+) -> DataFrame:
     """One row per question not viewed before: the first by topic and URL.
 
     Adds ``question_id``; links without a numeric id are left out. ``viewed`` has
     ``question_id``. Each question is reduced to one row before the anti-join, so one
     that many topics link to weighs no more than any other.
     """
-    url = U.without_write_suffix(F.col("question_url"))
+    url = F.col("question_url")
+    number = U.any_question_id(url) if any_question else U.to_long(U.question_id_text(url))
     named = links.select(
         "topic_url",
-        url.alias("question_url"),
-        U.to_long(U.question_id_text(F.col("question_url"))).alias("question_id"),
+        U.without_write_suffix(url).alias("question_url"),
+        number.alias("question_id"),
     ).dropna(subset=["question_id"])
     first = keep_first(named, ["question_id"], ["topic_url", "question_url"])
     if viewed is None:
@@ -94,12 +98,15 @@ def new_questions(links: DataFrame, viewed: DataFrame | None = None) -> DataFram
     return without_keys(first, viewed, {"question_id": "question_id"})
 
 
-def answer_links(question_pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+def answer_links(
+    question_pages: DataFrame, region: str = ANSWERS_CLASS, own_question: bool = True
+) -> tuple[DataFrame, DataFrame]:
     """Answer links of landed question pages, and the links without readable ids.
 
     ``question_pages`` has ``topic_url``, ``question_id``, ``url`` and ``html``. Links are
-    taken from the answers region, must look like an answer of the page's question, and
-    are kept once over all pages, by topic and question.
+    taken from the first element of the region's class, must look like an answer (of the
+    page's question, unless ``own_question`` is off), and are kept once over all pages, by
+    topic and question.
     """
     cut = question_pages.select(
         "topic_url", "question_id", "url", H.markup_only(F.col("html")).alias("markup")
@@ -109,15 +116,19 @@ def answer_links(question_pages: DataFrame) -> tuple[DataFrame, DataFrame]:
         "question_id",
         F.col("url").alias("_page"),
         H.text_by_class(F.col("markup"), TITLE_CLASS).alias("question_title"),
-        H.element_by_class(F.col("markup"), ANSWERS_CLASS).alias("_region"),
+        H.element_by_class(F.col("markup"), region).alias("_region"),
     )
     listed = read.select(
-        "topic_url", "question_id", "question_title", "_page", F.explode(H.hrefs(F.col("_region"))).alias("_href")
+        "topic_url",
+        "question_id",
+        "question_title",
+        "_page",
+        F.explode(H.hrefs(F.col("_region"))).alias("_href"),
     )
     found = _resolved(listed, "topic_url", "question_id", "question_title")
-    found = found.where(
-        U.has_answer_path(F.col("href")) & U.contains_id(F.col("href"), F.col("question_id"))
-    )
+    found = found.where(U.has_answer_path(F.col("href")))
+    if own_question:
+        found = found.where(U.contains_id(F.col("href"), F.col("question_id")))
     unique = keep_first(found, ["href"], ["topic_url", "question_id"])
     parsed = unique.select(
         U.link_question_id(F.col("href")).alias("qId"),
@@ -133,14 +144,21 @@ def answer_links(question_pages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def extract_links(
-    topic_pages: DataFrame, question_pages: DataFrame, viewed: DataFrame | None = None
+    topic_pages: DataFrame,
+    question_pages: DataFrame,
+    viewed: DataFrame | None = None,
+    any_question: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Answer links of all questions that landed topic pages lead to.
 
     ``question_pages`` holds the landed question pages as ``url`` and ``html``. Returns
-    the links and the ones set aside.
+    the links and the ones set aside. ``any_question`` follows every question link of a
+    topic page, such as a roundtable's, and reads the bare answer list of the question.
     """
-    questions = new_questions(question_links(topic_pages), viewed)
+    linked = question_links(topic_pages, any_question)
+    questions = new_questions(linked, viewed, any_question)
     landed = question_pages.select(F.col("url").alias("question_url"), "html")
     joined = questions.join(landed, "question_url").withColumnRenamed("question_url", "url")
+    if any_question:
+        return answer_links(joined, ANSWER_LIST_CLASS, own_question=False)
     return answer_links(joined)

@@ -283,3 +283,52 @@ def topics_to_answers(spark: SparkSession, folder: str) -> DataFrame:
     return A.topics_to_answers(
         topic_pages(spark, folder), question_pages(spark, folder), landed, SITE, _viewed(spark, folder)
     )
+
+
+def roundtable_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers as bare question links on their segment's roundtable, fifty to a page."""
+    listed = table(spark, folder, "customer").select(
+        F.concat(F.lit(f"{SITE}/roundtable/"), F.lower("c_mktsegment")).alias("url"),
+        F.floor(F.col("c_custkey") / 50).alias("part"),
+        F.concat(
+            F.lit('<a href="/question/'),
+            (F.col("c_custkey") + _NEAR).cast("string"),
+            F.lit('">q</a><a href="/question/waiting/5">w</a>'),
+        ).alias("link"),
+    )
+    return listed.groupBy("url", "part").agg(F.array_join(F.collect_list("link"), "").alias("html"))
+
+
+@query(
+    """
+SELECT o_custkey + 1000 AS "qId", o_orderkey + 1000000 AS aid, 'T' || (o_custkey + 1000) AS question_title,
+       'https://qa.example.com/roundtable/' || lower(c_mktsegment) AS topic_url
+FROM orders JOIN customer ON o_custkey = c_custkey
+"""
+)
+def roundtable_answer_links(spark: SparkSession, folder: str) -> DataFrame:
+    """Answer links reached from roundtables, which link to questions without an answer."""
+    question = (F.col("o_custkey") + _NEAR).cast("string")
+    links = table(spark, folder, "orders").select(
+        question.alias("question"),
+        F.floor(F.col("o_orderkey") / 1000).alias("part"),
+        F.concat(
+            F.lit('<p><a href="/question/'),
+            question,
+            F.lit("/answer/"),
+            (F.col("o_orderkey") + _FAR).cast("string"),
+            F.lit('">a</a></p>'),
+        ).alias("link"),
+    )
+    listed = links.groupBy("question", "part").agg(F.array_join(F.collect_list("link"), "").alias("list"))
+    pages = listed.select(
+        F.concat(F.lit(f"{SITE}/question/"), "question").alias("url"),
+        F.concat(
+            F.lit('<h1 class="QuestionHeader-title">T'),
+            "question",
+            F.lit('</h1><div class="QuestionAnswers-answers">'),
+            "list",
+            F.lit('</div><a href="/question/1/answer/1">x</a>'),
+        ).alias("html"),
+    )
+    return L.extract_links(roundtable_pages(spark, folder), pages, any_question=True)[0]

@@ -215,3 +215,13 @@ def map_files(spark: SparkSession, folder: str) -> DataFrame:
     table(spark, folder, "events").select("props").write.text(path)
     return sources.read_map_file(spark, path, per_line=True)
 
+
+
+@query("SELECT o_orderkey, o_orderdate FROM orders")
+def table_export(spark: SparkSession, folder: str) -> DataFrame:
+    """A table's rows written to Parquet and read back."""
+    name = f"{_database(spark)}.orders"
+    sinks.create_table_as(table(spark, folder, "orders").select("o_orderkey", "o_orderdate"), name)
+    path = work_path(spark, "export")
+    sinks.table_to_parquet(spark, name, path)
+    return sources.read_parquet(spark, path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from askmill.operators.joins import without_keys
+from askmill.operators.joins import join_splitting_hot_keys, key_difference, without_keys
 from askmill.plans.frontier import pending_answers
 from catalog.registry import query, table
 
@@ -105,3 +105,37 @@ def unseen_single_key(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events")
     seen = events.where("event_type = 'purchase' AND value > 100")
     return without_keys(events.select("event_id", "user_id"), seen, {"user_id": "user_id"})
+
+
+@query(
+    """
+SELECT DISTINCT o_custkey FROM orders
+EXCEPT SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING'
+"""
+)
+def key_difference_set(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys of one table without those of another, as sets."""
+    held = table(spark, folder, "customer").where("c_mktsegment = 'BUILDING'")
+    orders = table(spark, folder, "orders")
+    return key_difference(orders, held.withColumnRenamed("c_custkey", "o_custkey"), ["o_custkey"])
+
+
+@query(
+    """
+SELECT event_id, event_type, user_id, n AS users FROM events
+LEFT JOIN (SELECT event_type AS kind, count(DISTINCT user_id) AS n FROM events
+           WHERE event_type <> 'error' GROUP BY event_type) ON kind = event_type
+"""
+)
+def hot_key_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """A left join on five keys, each holding a large share of the rows, dealt over tasks."""
+    events = table(spark, folder, "events").select("event_id", "event_type", "user_id")
+    users = (
+        events.where("event_type <> 'error'")
+        .select(F.col("event_type").alias("kind"), "user_id")
+        .distinct()
+        .groupBy("kind")
+        .agg(F.count("*").alias("users"))
+    )
+    joined = join_splitting_hot_keys(events, users, "event_type", "kind", "left", pieces=16)
+    return joined.drop("kind")

@@ -162,11 +162,50 @@ def test_a_hot_key_is_spread_over_tasks(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_splitting_gives_the_rows_of_the_plain_join(spark, how):
+    many = spark.range(400).select(
+        F.when(F.col("id") < 200, F.lit(1)).when(F.col("id") < 210, F.lit(None)).otherwise(F.col("id") % 9).alias("k"),
+        "id",
+    )
+    few = spark.createDataFrame([(1, "a"), (1, "b"), (3, "c"), (None, "d")], "f long, v string")
+    split = joins.join_splitting_hot_keys(many, few, "k", "f", how, pieces=5)
+    assert rows(split) == rows(many.join(few, many["k"] == few["f"], how))
+
+
+def test_splitting_refuses_joins_that_would_repeat_rows(spark):
+    frame = spark.range(3)
+    with pytest.raises(ValueError, match="more than once"):
+        joins.join_splitting_hot_keys(frame, frame, "id", "id", "right")
+
+
+def test_adaptive_execution_splits_a_hot_root(spark, no_broadcast):
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        roots, replies, subjects = hot_comments(spark)
+        frame = relate_comments(roots, replies.repartition(8), subjects)
+        frame.write.format("noop").mode("overwrite").save()
+        assert frame.count() == 3000
+        query = frame._jdf.queryExecution()
+        frame.collect()
+        assert "skew=true" in query.executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
 def plan(frame) -> str:
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.fixture
+@pytest.fixture()
 def no_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     yield
@@ -233,6 +272,17 @@ def test_counts(spark):
     assert rows(counts.stage_metrics({"x": frame, "y": frame.limit(1)})) == [("x", 4), ("y", 1)]
 
 
+def test_preview_shows_rows_and_names(spark, capsys):
+    assert sinks.preview(spark.range(3).withColumnRenamed("id", "answer_id"), 2) == ["answer_id"]
+    assert "answer_id" in capsys.readouterr().out
+
+
+def test_published_manifest(spark, tmp_path):
+    manifest = sinks.publish(spark.range(10), str(tmp_path / "out"), files=3)
+    assert rows(manifest) == [(0, "id", "bigint", 10)]
+    assert len(list((tmp_path / "out").glob("*.parquet"))) == 3
+
+
 def test_custom_functions(spark):
     frame = spark.createDataFrame([(1, "ab"), (2, None)], "k long, v string")
     assert rows(custom.apply_value(frame, "v", len, "bigint", "n").select("k", "n")) == [(1, 2), (2, None)]
