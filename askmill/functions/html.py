@@ -207,24 +207,34 @@ def button_text(markup: Column, classes: str) -> Column:
     """Text of the first button whose class attribute is exactly these classes, in order."""
     words = r"\s+".join(re.escape(word) for word in classes.split())
     attribute = rf"""class\s*=\s*(?:"\s*{words}\s*"|'\s*{words}\s*')"""
-    pattern = rf"(?is)<button\s(?:[^>]*\s)?{attribute}[^>]*>(.*?)</button\s*>"
-    found = F.regexp_extract_all(markup, F.lit(pattern), F.lit(1))
-    return text_of(F.try_element_at(found, F.lit(1)))
+    pattern = rf"(?is)<button\s(?:[^>]*\s)?{attribute}[^>]*>.*?</button\s*>"
+    element = F.regexp_extract(markup, pattern, 0)
+    return bound(element, lambda e: F.when(e != "", text_of(e)))
 
 
 def _attribute(tag: Column, name: str) -> Column:
     """Value of an attribute, its name matched without case; null where absent."""
     pattern = rf"""(?is)\s{re.escape(name)}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>/]+)"""
-    found = F.try_element_at(F.regexp_extract_all(tag, F.lit(pattern), F.lit(1)), F.lit(1))
-    return decode_entities(F.regexp_replace(found, r"""^["']|["']\z""", ""))
 
+    def value(raw: Column) -> Column:
+        bare = F.regexp_replace(raw, r"""^["']|["']\z""", "")
+        return F.when(raw != "", decode_entities(bare))
+
+    return bound(F.regexp_extract(tag, pattern, 1), value)
+
+
+def meta_properties(markup: Column) -> Column:
+    """Array with the ``itemprop`` and ``content`` of every ``<meta>`` tag, null where absent."""
+
+    def pair(tag: Column) -> Column:
+        return F.struct(
+            _attribute(tag, "itemprop").alias("itemprop"),
+            _attribute(tag, "content").alias("content"),
+        )
 
-def meta_tags(markup: Column, itemprop: str) -> Column:
-    """Array of the whole ``<meta>`` tags that carry this itemprop."""
-    tags = F.regexp_extract_all(markup, F.lit(_META), F.lit(0))
-    return F.filter(tags, lambda tag: _attribute(tag, "itemprop") == itemprop)
+    return F.transform(F.regexp_extract_all(markup, F.lit(_META), F.lit(0)), pair)
 
 
-def meta_contents(markup: Column, itemprop: str) -> Column:
-    """Array of the content attributes of those tags; null for a tag without one."""
-    return F.transform(meta_tags(markup, itemprop), lambda tag: _attribute(tag, "content"))
+def contents_of(properties: Column, itemprop: str) -> Column:
+    """Array of the contents that ``meta_properties`` found under one itemprop."""
+    return F.filter(properties, lambda p: p["itemprop"] == itemprop)["content"]

@@ -44,10 +44,10 @@ def read_answers(pages: DataFrame, site: str) -> DataFrame:
         H.markup_only(F.col("html")).alias("markup"),
     )
     markup = F.col("markup")
-    tags = cut.select(
-        *cut.columns,
-        H.meta_contents(markup, DATE_ITEMPROP).alias("dates"),
-        H.meta_contents(markup, URL_ITEMPROP).alias("authors"),
+    tags = cut.select("*", H.meta_properties(markup).alias("_metas")).select(
+        "*",
+        H.contents_of(F.col("_metas"), DATE_ITEMPROP).alias("dates"),
+        H.contents_of(F.col("_metas"), URL_ITEMPROP).alias("authors"),
     )
     dates, authors = F.col("dates"), F.col("authors")
     read = tags.select(

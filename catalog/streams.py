@@ -84,10 +84,10 @@ def stream_answers(spark: SparkSession, folder: str) -> DataFrame:
     """Landed pages streamed through extraction into the answers table."""
     pages = document_pages(spark, folder)
     landing = work_path(spark, "landing")
-    pages.repartition(3).write.parquet(landing)
+    pages.repartition(16).write.parquet(landing)
     sink = work_path(spark, "sink")
     ingest_stream(
-        stream_parquet(spark, landing, pages.schema, files_per_batch=2),
+        stream_parquet(spark, landing, pages.schema, files_per_batch=8),
         sink,
         ["question_id", "answer_id"],
         work_path(spark, "state"),

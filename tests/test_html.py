@@ -146,7 +146,10 @@ def test_meta_contents(spark):
         '<meta itemProp="dateCreated" content="1"/><meta content=\'2\' ITEMPROP="dateCreated">'
         '<meta itemprop="url" content="u"><meta itemprop="dateCreated">'
     )
-    assert one(spark, page, lambda m: H.meta_contents(m, "dateCreated")) == ["1", "2", None]
+    found = one(spark, page, lambda m: H.contents_of(H.meta_properties(m), "dateCreated"))
+    assert found == ["1", "2", None]
+    empty = one(spark, '<meta itemprop="url" content="">', lambda m: H.meta_properties(m))
+    assert [tuple(p) for p in empty] == [("url", "")]
 
 
 VOTES = '<button class="Button VoteButton VoteButton--up">​9</button>'
