@@ -34,7 +34,6 @@ _FROM_BLOCK_CLOSE = (
     r"(?is)</(?:article|aside|body|div|footer|header|html|main|nav|section|td)\s*>.*\z"
 )
 _HREF = r"""(?is)<[a-z][^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-_META = r"(?is)<meta\b[^>]*>"
 
 
 def markup_only(html: Column) -> Column:
@@ -56,15 +55,23 @@ def paragraphs(markup: Column) -> Column:
     pieces = F.filter(F.split(markup, _P_OPEN, -1), lambda piece, place: place > 0)
 
     def cut(piece: Column) -> Column:
-        closed = F.when(piece.rlike(_P_CLOSE), F.regexp_replace(piece, _FROM_P_CLOSE, ""))
-        return closed.otherwise(F.regexp_replace(piece, _FROM_BLOCK_CLOSE, ""))
+        plain = F.substring_index(piece, "</p>", 1)
+        only_plain = piece.contains("</p>") & ~plain.contains("</p") & ~plain.contains("</P")
+        return (
+            F.when(only_plain, plain)
+            .when(piece.rlike(_P_CLOSE), F.regexp_replace(piece, _FROM_P_CLOSE, ""))
+            .otherwise(F.regexp_replace(piece, _FROM_BLOCK_CLOSE, ""))
+        )
+
+    def untag(text: Column) -> Column:
+        return F.when(text.contains("<"), strip_tags(text)).otherwise(text)
 
     def decode(text: Column) -> Column:
         return F.when(text.contains("&"), decode_entities(text)).otherwise(text)
 
     # One transform to a step: a lambda that uses its argument twice must not repeat the
-    # step before it.
-    bare = F.transform(F.transform(pieces, cut), strip_tags)
+    # step before it. Literal searches settle the usual case before a pattern is tried.
+    bare = F.transform(F.transform(pieces, cut), untag)
     return F.transform(F.transform(bare, decode), strip_text)
 
 
@@ -203,13 +210,27 @@ def text_by_tag(markup: Column, tag: str) -> Column:
     return strip_text(text_of(element_by_tag(markup, tag)))
 
 
-def button_text(markup: Column, classes: str) -> Column:
-    """Text of the first button whose class attribute is exactly these classes, in order."""
+def _button_pattern(classes: str) -> str:
     words = r"\s+".join(re.escape(word) for word in classes.split())
     attribute = rf"""class\s*=\s*(?:"\s*{words}\s*"|'\s*{words}\s*')"""
-    pattern = rf"(?is)<button\s(?:[^>]*\s)?{attribute}[^>]*>.*?</button\s*>"
-    element = F.regexp_extract(markup, pattern, 0)
-    return bound(element, lambda e: F.when(e != "", text_of(e)))
+    return rf"button\s(?:[^>]*\s)?{attribute}[^>]*>.*?</button\s*>"
+
+
+def meta_and_button_elements(markup: Column, classes: str) -> Column:
+    """Array of all ``<meta>`` tags and of the buttons with exactly these classes, in order,
+    found in one pass over the page."""
+    pattern = rf"(?is)<(?:meta\b[^>]*>|{_button_pattern(classes)})"
+    return F.regexp_extract_all(markup, F.lit(pattern), F.lit(0))
+
+
+def _is_meta(element: Column) -> Column:
+    return F.lower(F.substring(element, 2, 4)) == "meta"
+
+
+def button_text(elements: Column) -> Column:
+    """Text of the first button among ``meta_and_button_elements``; null if there is none."""
+    buttons = F.filter(elements, lambda element: ~_is_meta(element))
+    return text_of(F.try_element_at(buttons, F.lit(1)))
 
 
 def _attribute(tag: Column, name: str) -> Column:
@@ -223,8 +244,9 @@ def _attribute(tag: Column, name: str) -> Column:
     return bound(F.regexp_extract(tag, pattern, 1), value)
 
 
-def meta_properties(markup: Column) -> Column:
-    """Array with the ``itemprop`` and ``content`` of every ``<meta>`` tag, null where absent."""
+def meta_properties(elements: Column) -> Column:
+    """Array with the ``itemprop`` and ``content`` of every ``<meta>`` tag among the
+    elements, null where absent."""
 
     def pair(tag: Column) -> Column:
         return F.struct(
@@ -232,7 +254,7 @@ def meta_properties(markup: Column) -> Column:
             _attribute(tag, "content").alias("content"),
         )
 
-    return F.transform(F.regexp_extract_all(markup, F.lit(_META), F.lit(0)), pair)
+    return F.transform(F.filter(elements, _is_meta), pair)
 
 
 def contents_of(properties: Column, itemprop: str) -> Column:

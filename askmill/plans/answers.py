@@ -44,7 +44,11 @@ def read_answers(pages: DataFrame, site: str) -> DataFrame:
         H.markup_only(F.col("html")).alias("markup"),
     )
     markup = F.col("markup")
-    tags = cut.select("*", H.meta_properties(markup).alias("_metas")).select(
+    found = cut.select(
+        "*", H.meta_and_button_elements(markup, VOTE_BUTTON_CLASSES).alias("_elements")
+    )
+    metas = found.select("*", H.meta_properties(F.col("_elements")).alias("_metas"))
+    tags = metas.select(
         "*",
         H.contents_of(F.col("_metas"), DATE_ITEMPROP).alias("dates"),
         H.contents_of(F.col("_metas"), URL_ITEMPROP).alias("authors"),
@@ -58,7 +62,7 @@ def read_answers(pages: DataFrame, site: str) -> DataFrame:
         ),
         "question_title",
         H.paragraph_text(markup).alias("content"),
-        remove_literal(H.button_text(markup, VOTE_BUTTON_CLASSES), [ZERO_WIDTH_SPACE]).alias("upvotes"),
+        remove_literal(H.button_text(F.col("_elements")), [ZERO_WIDTH_SPACE]).alias("upvotes"),
         F.when(F.size(dates) == 0, F.lit(""))
         .otherwise(F.try_element_at(dates, F.lit(-1)))
         .alias("answer_creation_time"),

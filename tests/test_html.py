@@ -16,9 +16,16 @@ def one(spark, page, make):
     return frame.select(make(H.markup_only(F.col("html"))).alias("v")).first()["v"]
 
 
+def elements(markup):
+    return H.meta_and_button_elements(markup, "Button VoteButton VoteButton--up")
+
+
 @pytest.mark.parametrize(
     ("page", "expected"),
     [
+        ("<p>a</P>b</p>c", "a"),
+        ("<p>a</p >b</p>", "a"),
+        ("<p>a</pre>b</p>", "ab"),
         ("<p>a</p><p class='x'> b <i>c</i>\n</p>", "a b c"),
         ("<p>a<script>var p = '</p>';</script>b</p>", "ab"),
         ("<!-- <p>no</p> --><style>p{}</style><p>yes</p>", "yes"),
@@ -134,11 +141,11 @@ def test_unclosed_element_runs_to_the_end(spark):
         ('<button class="VoteButton Button VoteButton--up">7</button>', None),
         ('<button class="Button VoteButton VoteButton--up x">7</button>', None),
         ('<button class="Button VoteButton VoteButton--up"></button>', ""),
+        ('<button><meta a=1><BUTTON class="Button VoteButton VoteButton--up">1</button>', "1"),
     ],
 )
 def test_button_text(spark, page, expected):
-    found = one(spark, page, lambda m: H.button_text(m, "Button VoteButton VoteButton--up"))
-    assert found == expected
+    assert one(spark, page, lambda m: H.button_text(elements(m))) == expected
 
 
 def test_meta_contents(spark):
@@ -146,9 +153,9 @@ def test_meta_contents(spark):
         '<meta itemProp="dateCreated" content="1"/><meta content=\'2\' ITEMPROP="dateCreated">'
         '<meta itemprop="url" content="u"><meta itemprop="dateCreated">'
     )
-    found = one(spark, page, lambda m: H.contents_of(H.meta_properties(m), "dateCreated"))
+    found = one(spark, page, lambda m: H.contents_of(H.meta_properties(elements(m)), "dateCreated"))
     assert found == ["1", "2", None]
-    empty = one(spark, '<meta itemprop="url" content="">', lambda m: H.meta_properties(m))
+    empty = one(spark, '<meta itemprop="url" content="">', lambda m: H.meta_properties(elements(m)))
     assert [tuple(p) for p in empty] == [("url", "")]
 
 
