@@ -55,13 +55,8 @@ def paragraphs(markup: Column) -> Column:
     pieces = F.filter(F.split(markup, _P_OPEN, -1), lambda piece, place: place > 0)
 
     def cut(piece: Column) -> Column:
-        plain = F.substring_index(piece, "</p>", 1)
-        only_plain = piece.contains("</p>") & ~plain.contains("</p") & ~plain.contains("</P")
-        return (
-            F.when(only_plain, plain)
-            .when(piece.rlike(_P_CLOSE), F.regexp_replace(piece, _FROM_P_CLOSE, ""))
-            .otherwise(F.regexp_replace(piece, _FROM_BLOCK_CLOSE, ""))
-        )
+        closed = F.when(piece.rlike(_P_CLOSE), F.regexp_replace(piece, _FROM_P_CLOSE, ""))
+        return closed.otherwise(F.regexp_replace(piece, _FROM_BLOCK_CLOSE, ""))
 
     def untag(text: Column) -> Column:
         return F.when(text.contains("<"), strip_tags(text)).otherwise(text)
@@ -70,7 +65,7 @@ def paragraphs(markup: Column) -> Column:
         return F.when(text.contains("&"), decode_entities(text)).otherwise(text)
 
     # One transform to a step: a lambda that uses its argument twice must not repeat the
-    # step before it. Literal searches settle the usual case before a pattern is tried.
+    # step before it.
     bare = F.transform(F.transform(pieces, cut), untag)
     return F.transform(F.transform(bare, decode), strip_text)
 
