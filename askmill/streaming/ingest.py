@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -62,11 +63,13 @@ def dedup_stream(
 
 
 def _read_if_present(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if files.exists(target):
+    """The table at the path, or an empty one where nothing has been written yet."""
+    try:
         return spark.read.schema(schema).parquet(path)
-    return spark.createDataFrame([], schema)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def ingest_stream(
