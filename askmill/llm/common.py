@@ -29,6 +29,18 @@ def id_and_text(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     )
 
 
+#: Stands for a null id where rows pass through pandas, which would turn the others into floats.
+NO_ID = -(1 << 63)
+
+
+def marked_ids(texts: DataFrame) -> DataFrame:
+    return texts.withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
+
+
+def unmarked_ids(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("doc_id", F.when(F.col("doc_id") != NO_ID, F.col("doc_id")))
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased and nothing else."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from askmill.llm import jump_shards, license_scan, syncmers, token_files, toxicity, url_trie
+from askmill.llm import (
+    compact_windows,
+    edit_pigeonhole,
+    jump_shards,
+    license_scan,
+    piece_codec,
+    super_minhash,
+    syncmers,
+    token_files,
+    toxicity,
+    url_trie,
+)
 from askmill.llm.common import table
 from askmill.session import work_path
 
@@ -84,11 +95,33 @@ def op4_jump_shards(spark: SparkSession, folder: str) -> DataFrame:
     return jump_shards.number_slots(dealt, ["doc_id", "text_crc32", "size"])
 
 
+@query()
+def op5_super_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return super_minhash.group(table(spark, folder, "documents"), percent=85)
+
+
 @query()
 def op6_syncmers(spark: SparkSession, folder: str) -> DataFrame:
     return syncmers.compare_edits(table(spark, folder, "documents"))
 
 
+@query()
+def op7_compact_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return compact_windows.repeated(table(spark, folder, "documents"))
+
+
+@query()
+def op8_piece_codec(spark: SparkSession, folder: str) -> DataFrame:
+    coded = piece_codec.encode(table(spark, folder, "documents"), tokenizer_file("piece_bpe_32k.model"))
+    return coded.select(
+        "doc_id",
+        "n_tokens",
+        F.crc32("tokens").alias("ids_crc32"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+        "parity",
+    )
+
+
 # The rules of the URL query.
 URL_RULES = [
     ("com/", "allow"),
@@ -125,3 +158,8 @@ URL_RULES = [
 def op9_url_trie(spark: SparkSession, folder: str) -> DataFrame:
     urls = table(spark, folder, "pages").select("page_id", "url")
     return url_trie.judge(urls, URL_RULES).drop("url")
+
+
+@query()
+def op10_edit_pigeonhole(spark: SparkSession, folder: str) -> DataFrame:
+    return edit_pigeonhole.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

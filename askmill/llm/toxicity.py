@@ -1,7 +1,7 @@
 """Toxicity scores by non-negative positive-unlabelled learning.
 
-Confirmed toxic texts are the positives; all other training texts are unlabelled, since a text
-nobody marked may still be toxic. With the class prior p (the share of positives among labelled
+Confirmed toxic texts are the positives. A sample of all training texts, marked or not, is the
+unlabelled set: it holds toxic texts by their natural share. With the class prior p (the share of positives among labelled
 rows) the risk of a linear classifier is
 
     p * R(positive as 1)  +  max(0, R(unlabelled as 0) - p * R(positive as 0)),
@@ -9,7 +9,8 @@ rows) the risk of a linear classifier is
 and where the bracket falls below 0 the step goes up its gradient, which keeps a flexible model from
 driving it negative. The loss is logistic, so scores are estimates of the class probability.
 
-Features are the distinct words of a text (runs of letters, lower-cased). The model is fitted on
+Features are the distinct words of a text (runs of letters, lower-cased) and the beginnings of longer
+words, since abuse is inflected and compounded. The model is fitted on
 the driver in numpy from a bounded sample, the first ``MAX_POSITIVE`` and ``MAX_UNLABELLED``
 training rows in the order of a hash of doc_id, and at most ``MAX_WORDS`` telling words of theirs;
 scoring reads every text whole, in Arrow batches, with the weights as a broadcast of bounded size.
@@ -21,6 +22,7 @@ document, and null labels, are left out. Without positives the model is the prio
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,9 +33,10 @@ from pyspark.sql import functions as F
 
 from askmill.llm.common import id_and_text
 
-MAX_POSITIVE, MAX_UNLABELLED, MAX_WORDS = 3_000, 9_000, 100_000
-#: Words in fewer training texts than this, or as common in both samples, have no weight of their own.
-LEAST_TEXTS, LEAST_Z = 4, 4.0
+MAX_POSITIVE, MAX_UNLABELLED, MAX_WORDS = 2_000, 6_000, 100_000
+STEMS = (4, 5, 6, 7, 8)
+#: Features in fewer training texts than this, or as common in both samples, have no weight of their own.
+LEAST_TEXTS, LEAST_Z = 3, 3.3
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -42,6 +45,14 @@ def words_of(text: str) -> set[str]:
     return set(_WORD.findall(text.lower()))
 
 
+def features_of(words: set[str]) -> set[str]:
+    """The words, and their beginnings marked with a hyphen."""
+    found = set(words)
+    for n in STEMS:
+        found.update([w[:n] + "-" for w in words if len(w) > n])
+    return found
+
+
 @dataclass
 class Model:
     weights: dict[str, float]
@@ -50,7 +61,7 @@ class Model:
 
     def score(self, text: str) -> float:
         weights = self.weights
-        total = self.bias + sum(weights[w] for w in sorted(words_of(text) & weights.keys()))
+        total = self.bias + sum(weights[w] for w in sorted(features_of(words_of(text)) & weights.keys()))
         return float(1 / (1 + np.exp(-total)))
 
 
@@ -69,7 +80,7 @@ class Sparse:
         return np.bincount(self.word, each[self.row], self.width)
 
 
-def fit_nnpu(positive: Sparse, unlabelled: Sparse, prior: float, steps: int = 1000, rate: float = 0.05, decay: float = 3e-5):
+def fit_nnpu(positive: Sparse, unlabelled: Sparse, prior: float, steps: int = 1000, rate: float = 0.05, decay: float = 1e-4):
     """Full-batch Adam on the non-negative risk; weights with the bias apart."""
     width = positive.width
     state, first, second = np.zeros(width + 1), np.zeros(width + 1), np.zeros(width + 1)
@@ -91,22 +102,29 @@ def fit_nnpu(positive: Sparse, unlabelled: Sparse, prior: float, steps: int = 10
         slope = np.append(positive.back(each_p) + unlabelled.back(each_u) + decay * state[:-1], each_p.sum() + each_u.sum())
         first, second = 0.9 * first + 0.1 * slope, 0.999 * second + 0.001 * slope**2
         state = state - rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    return state[:-1], float(state[-1])
+    # The mean score of all texts is the prior: correction steps on a small sample shift the bias.
+    at_u, low, high = unlabelled.times(state[:-1]), -60.0, 60.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (middle, high) if sigmoid(at_u + middle).mean() < prior else (low, middle)
+    return state[:-1], (low + high) / 2
 
 
-def telling_words(positives: list[list[str]], others: list[list[str]]) -> list[str]:
-    """Words more common in one of the two samples than chance explains, by a two-sample z score.
+def telling(positives: list[set[str]], others: list[set[str]]) -> list[str]:
+    """Features more common among the positives than chance explains, by a two-sample z score.
 
-    A word that a few training texts happen to share would only let the model learn these by heart.
+    One that a few training texts happen to share would only let the model learn these by heart.
     """
-    in_p = pd.Series([w for x in positives for w in x], dtype=str).value_counts()
-    in_u = pd.Series([w for x in others for w in x], dtype=str).value_counts()
-    counts = pd.DataFrame({"p": in_p, "u": in_u}).fillna(0).sort_index()
+    in_p = Counter(f for x in positives for f in features_of(x))
+    in_p = {f: n for f, n in in_p.items() if n >= LEAST_TEXTS}
+    in_u = Counter(f for x in others for f in features_of(x) & in_p.keys())
     n_p, n_u = len(positives), len(others)
-    share = (counts["p"] + counts["u"] + 1) / (n_p + n_u + 2)
-    z = (counts["p"] / n_p - counts["u"] / n_u) / np.sqrt(share * (1 - share) * (1 / n_p + 1 / n_u))
-    kept = counts[(z.abs() >= LEAST_Z) & (counts["p"] + counts["u"] >= LEAST_TEXTS)]
-    return z[kept.index].abs().sort_values(ascending=False, kind="stable").index[:MAX_WORDS].tolist()
+    scores = {}
+    for f, n in in_p.items():
+        share = (n + in_u[f] + 1) / (n_p + n_u + 2)
+        scores[f] = (n / n_p - in_u[f] / n_u) / np.sqrt(share * (1 - share) * (1 / n_p + 1 / n_u))
+    kept = sorted((-z, f) for f, z in scores.items() if z >= LEAST_Z)
+    return [f for _, f in kept[:MAX_WORDS]]
 
 
 def _sample_words(texts: DataFrame, ids: DataFrame, most: int) -> pd.DataFrame:
@@ -140,20 +158,17 @@ def train(
     prior = marks.agg(F.avg(F.col("toxic").cast("double"))).head()[0] or 0.0
     toxic = marks.where("toxic = 1").select("doc_id")
     found = _sample_words(texts, toxic, max_positive)
-    rest = _sample_words(texts, ids.join(toxic, "doc_id", "left_anti"), max_unlabelled)
+    rest = _sample_words(texts, ids, max_unlabelled)
     if found.empty or rest.empty or not 0 < prior < 1:
         prior = min(max(prior, 1e-6), 1 - 1e-6)
         return Model({}, float(np.log(prior / (1 - prior))), prior)
-    # Unlabelled texts are a sample of all texts: the positives among them come back in, by the prior.
-    positives = [x.split("\n") if x else [] for x in found["words"]]
-    others = [x.split("\n") if x else [] for x in rest["words"]]
-    back = round(len(others) * prior / (1 - prior))
-    others += [positives[i % len(positives)] for i in range(back)]
-    kept = telling_words(positives, others)
+    positives = [set(x.split("\n")) if x else set() for x in found["words"]]
+    others = [set(x.split("\n")) if x else set() for x in rest["words"]]
+    kept = telling(positives, others)
     index = {w: i for i, w in enumerate(kept)}
 
     def sparse(rows):
-        return Sparse([np.array([index[w] for w in x if w in index], dtype=int) for x in rows], len(kept))
+        return Sparse([np.array(sorted(index[f] for f in features_of(x) & index.keys()), dtype=int) for x in rows], len(kept))
 
     weights, bias = fit_nnpu(sparse(positives), sparse(others), prior)
     return Model({w: float(x) for w, x in zip(kept, weights, strict=True) if abs(x) > 1e-3}, bias, prior)
