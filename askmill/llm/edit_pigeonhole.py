@@ -2,8 +2,10 @@
 
 A test item of m characters with an error budget of e is cut into e + 1 pieces. Where an item stands in
 a text with at most e edits, at least one piece stands there unchanged, so an exact search for
-the pieces loses no match. All pieces go into one Aho-Corasick automaton; hits on nearby diagonals
-of an item are verified together by Myers' bit-parallel edit distance over the stretch they allow.
+the pieces loses no match. The hashes of all character runs as long as the shortest piece, up to
+``GRAM``, are looked up in a table of the pieces' beginnings, in numpy for a whole text at once;
+where one is found the piece itself is compared. Hits on nearby diagonals of an item are
+verified together by Myers' bit-parallel edit distance over the stretch they allow.
 
 Texts and items are compared in lower case with runs of white space as one blank; places are counted
 there. The budget is ``RATE`` of the item's characters, rounded down. Items of fewer than
@@ -18,14 +20,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import ahocorasick
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from askmill.llm.common import id_and_text, marked_ids, unmarked_ids
 
-RATE, LEAST, BLOCK = 0.1, 24, 2_000_000
+RATE, LEAST, BLOCK, GRAM, SLOTS = 0.05, 24, 2_000_000, 12, 22
 
 
 def folded_text(text: str | None) -> str:
@@ -70,6 +72,21 @@ def nearest(peq: dict[str, int], m: int, text: str) -> tuple[int, int]:
     return best, end
 
 
+def run_hashes(text: str, size: int) -> np.ndarray:
+    """A 32-bit hash of the ``size`` characters from each place; runs double, so few passes are made."""
+    total = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4") * np.uint32(0x9E3779B1)
+    held, done, found = total, 0, None
+    width = 1
+    while True:
+        if size & width:
+            found = held if found is None else found[: len(held) - done] * np.uint32(0x85EBCA6B) ^ held[done:]
+            done += width
+        if done >= size:
+            return found[: max(0, len(text) - size + 1)]
+        held = (held[:-width] * np.uint32(0xC2B2AE35)) ^ (held[width:] + (held[width:] >> np.uint32(15)))
+        width *= 2
+
+
 class Matcher:
     """Finds all items of a block in a text."""
 
@@ -84,11 +101,13 @@ class Matcher:
             self.items.append((item_id, text, budget))
             for offset, part in parts:
                 owners.setdefault(part, []).append((number, offset))
-        self.automaton = ahocorasick.Automaton()
+        self.size = min([GRAM, *map(len, owners)])
+        self.starts: dict[int, list] = {}
         for part, where in owners.items():
-            self.automaton.add_word(part, (len(part), where))
-        if owners:
-            self.automaton.make_automaton()
+            self.starts.setdefault(int(run_hashes(part[: self.size], self.size)[0]), []).append((part, where))
+        self.table = np.zeros(1 << SLOTS, bool)
+        self.table[np.fromiter(self.starts, np.uint32, len(self.starts)) >> np.uint32(32 - SLOTS)] = True
+        self.known = np.sort(np.fromiter(self.starts, np.uint32, len(self.starts)))
         self.searches = bool(owners)
         self.masks: dict[int, tuple[dict, dict]] = {}
 
@@ -98,9 +117,14 @@ class Matcher:
             return []
         text = folded_text(text)
         hits: dict[int, set[int]] = {}
-        for end, (length, where) in self.automaton.iter(text):
-            for number, offset in where:
-                hits.setdefault(number, set()).add(end + 1 - length - offset)
+        hashes = run_hashes(text, self.size) if len(text) >= self.size else np.zeros(0, np.uint32)
+        places = np.flatnonzero(self.table[hashes >> np.uint32(32 - SLOTS)])
+        places = places[np.isin(hashes[places], self.known)]
+        for place, key in zip(places.tolist(), hashes[places].tolist(), strict=True):
+            for part, where in self.starts[key]:
+                if text.startswith(part, place):
+                    for number, offset in where:
+                        hits.setdefault(number, set()).add(place - offset)
         found = []
         for number, starts in sorted(hits.items()):
             item_id, item, budget = self.items[number]
