@@ -14,8 +14,8 @@ Grouping loses no link that shares a band:
 3. Candidates whose signatures agree in less than ``AGREE`` places are dropped (at a similarity of
    0.8 about one in thirty thousand falls below), the others are confirmed on their full sets.
 4. Components of the confirmed links. A bucket that still holds several components is compared
-   once more, in pairs of blocks of ``BLOCK`` members: only pairs across components whose
-   signatures agree are confirmed, and the components follow.
+   once more on full sets, in pairs of blocks of ``BLOCK`` members, for pairs across components
+   whose signatures agree; a block returns a spanning forest of its links, and the components follow.
 
 Words are runs without ASCII white space, A-Z lower-cased; the set of a text is its distinct
 five-word shingles, the whole sequence where it has fewer words, and empty without words. Empty
@@ -205,8 +205,7 @@ def group(docs: DataFrame, percent: int = 85) -> DataFrame:
     )
     links = _confirmed(star, texts, percent)
     named = components(links)
-    rest = _across(members, named, facts, percent)
-    more = _confirmed(rest, texts, percent)
+    more = _across(members, named, classes, texts, percent)
     if not more.isEmpty():
         named = components(links.union(more))
     nodes = classes.select("digest", "node").join(named, "node", "left")
@@ -224,37 +223,69 @@ def group(docs: DataFrame, percent: int = 85) -> DataFrame:
     )
 
 
-def _across(members: DataFrame, named: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that share a bucket and agree, found block by block."""
+def _across(members: DataFrame, named: DataFrame, classes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links across components within a bucket, compared block by block on full sets.
+
+    Of the links found in a pair of blocks only a spanning forest is returned. A pair that shares
+    several buckets is compared in the first of its bands only.
+    """
     named = members.select("key", "node", "size").join(named, "node", "left")
     named = named.withColumn("name", F.coalesce("component_id", "node"))
     mixed_up = named.groupBy("key").agg(F.min("name").alias("low"), F.max("name").alias("high")).where("low != high")
-    held = named.join(mixed_up.select("key"), "key", "left_semi").join(facts, "node")
+    held = named.join(mixed_up.select("key"), "key", "left_semi").select("key", "node", "name", "size")
+    facts = classes.select("node", "n", "bands", "marks").dropDuplicates(["node"])
+    held = held.join(facts, "node").join(texts.select(F.col("doc_id").alias("node"), "text"), "node")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     held = held.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), blocks - 1))
     )
     held = held.select(
-        "key",
-        F.least("block", "other").alias("one"),
-        F.greatest("block", "other").alias("two"),
-        "block",
-        "node",
-        "name",
-        "n",
-        "marks",
-    )
+        "key", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"),
+        "block", "node", "name", "n", "bands", "marks", "text",
+    )
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        first = frame[frame["block"] == frame["one"]]
-        second = frame[frame["block"] == frame["two"]]
-        marks = np.frombuffer(b"".join(second["marks"]), np.uint8).reshape(len(second), -1)
-        names, nodes, sizes = (second[c].to_numpy() for c in ("name", "node", "n"))
+        # Rows that repeat a doc_id with another text are no members of the class.
+        frame = frame.sort_values(["node", "n"]).reset_index(drop=True)
+        blocks, names, nodes, sizes = (frame[c].to_numpy() for c in ("block", "name", "node", "n"))
+        marks = np.frombuffer(b"".join(frame["marks"]), np.uint8).reshape(len(frame), -1)
+        bands = np.array(frame["bands"].tolist(), dtype=np.int64)
+        shared_first = _shared_band(bands)
+        one, two = frame["one"].iloc[0], frame["two"].iloc[0]
+        sets: dict[int, np.ndarray] = {}
+        root = {name: name for name in names.tolist()}
+
+        def top(name: int) -> int:
+            while root[name] != name:
+                root[name] = name = root[root[name]]
+            return name
+
+        def full(n: int) -> np.ndarray:
+            if n not in sets:
+                sets[n] = shingle_set(frame["text"].iat[n])
+            return sets[n]
+
         found = []
-        for row in first.itertuples(index=False):
-            near = (marks == np.frombuffer(row.marks, np.uint8)).sum(axis=1) >= AGREE
-            near &= (names != row.name) & (100 * np.minimum(sizes, row.n) >= percent * np.maximum(sizes, row.n))
-            found += [(min(row.node, x), max(row.node, x)) for x in nodes[near]]
+        for n in np.flatnonzero(blocks == one).tolist():
+            near = (blocks == two) & (names != names[n]) & ((marks == marks[n]).sum(axis=1) >= AGREE)
+            near &= 100 * np.minimum(sizes, sizes[n]) >= percent * np.maximum(sizes, sizes[n])
+            near &= (bands[:, :shared_first] != bands[n, :shared_first]).all(axis=1)
+            if one == two:
+                near[: n + 1] = False
+            for m in np.flatnonzero(near).tolist():
+                a, b = top(int(names[n])), top(int(names[m]))
+                if a == b:
+                    continue
+                both = len(np.intersect1d(full(n), full(m), assume_unique=True))
+                if both and 100 * both >= percent * (len(full(n)) + len(full(m)) - both):
+                    root[max(a, b)] = min(a, b)
+                    found.append((nodes[n], nodes[m]))
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    return held.groupBy("key", "one", "two").applyInPandas(compare, "a long, b long").distinct()
+    return saved(held.groupBy("key", "one", "two").applyInPandas(compare, "a long, b long"), "further-links")
+
+
+def _shared_band(bands: np.ndarray) -> int:
+    """The band of a bucket: the first in which all its members agree."""
+    same = (bands == bands[0]).all(axis=0)
+    return int(same.argmax()) if same.any() else 0
