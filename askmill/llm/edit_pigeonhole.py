@@ -119,7 +119,8 @@ class Matcher:
         hits: dict[int, set[int]] = {}
         hashes = run_hashes(text, self.size) if len(text) >= self.size else np.zeros(0, np.uint32)
         places = np.flatnonzero(self.table[hashes >> np.uint32(32 - SLOTS)])
-        places = places[np.isin(hashes[places], self.known)]
+        nearby = np.minimum(np.searchsorted(self.known, hashes[places]), len(self.known) - 1)
+        places = places[self.known[nearby] == hashes[places]]
         for place, key in zip(places.tolist(), hashes[places].tolist(), strict=True):
             for part, where in self.starts[key]:
                 if text.startswith(part, place):
