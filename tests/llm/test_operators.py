@@ -303,7 +303,8 @@ def test_pipeline_keeps_columns_and_drops_what_it_should(spark, tmp_path):
     import corpus_pipeline
 
     rng = random.Random(11)
-    words = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    words = lambda n: " ".join(word() for _ in range(n))
     item, passage, copy = words(30), words(60), words(80)
     rows = [(n, words(50)) for n in [*range(60), *range(1000, 1300)]] + [(n, words(20) + " vile") for n in range(100, 140)]
     rows += [(200, words(30) + " " + item), (201, words(10) + " " + passage), (202, passage + " " + words(10))]
