@@ -14,9 +14,6 @@ from askmill.sinks import export_parquet
 # monotonically_increasing_id() puts the partition above bit 33 and the row below it.
 _ROW_BITS = 33
 
-# Up to this many buckets the bucket table is broadcast; a larger one is joined by shuffle.
-BROADCAST_BUCKETS = 10_000
-
 
 def with_position(frame: DataFrame, order: Sequence[str], name: str = "position") -> DataFrame:
     """Number the rows 0, 1, 2, … in the given order.
@@ -61,13 +58,11 @@ def skip_first(frame: DataFrame, order: Sequence[str], rows: int) -> DataFrame:
     """All rows but the first few in the given total order.
 
     The first rows come from a top-k and are removed by their key, so the rest is neither
-    sorted nor moved. The broadcast side has exactly ``rows`` rows.
+    sorted nor moved.
     """
     keys = list(order)
     first = frame.select(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in keys]).limit(rows)
     renamed = first.select(*[F.col(c).alias(f"_first_{c}") for c in keys])
-    if rows <= BROADCAST_BUCKETS:
-        renamed = F.broadcast(renamed)
     same = [F.col(c).eqNullSafe(F.col(f"_first_{c}")) for c in keys]
     return frame.join(renamed, same, "left_anti")
 
@@ -81,8 +76,6 @@ def assign_buckets(frame: DataFrame, buckets: DataFrame, order: Sequence[str]) -
     placed = with_position(frame, order, "_position")
     placed = placed.withColumn("_bucket", F.pmod("_position", F.lit(count))).drop("_position")
     side = buckets.withColumnRenamed("position", "_bucket")
-    if count <= BROADCAST_BUCKETS:
-        side = F.broadcast(side)
     return placed.join(side, "_bucket").withColumnRenamed("_bucket", "bucket")
 
 

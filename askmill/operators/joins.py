@@ -87,6 +87,10 @@ def hot_keys(frame: DataFrame, key: str, share: float = HOT_SHARE) -> list:
     return [row["key"] for row in hot.collect()]
 
 
+#: Equal rows of a hot key go to different pieces; any piece is right, as each meets all of ``few``.
+_PIECE_SEED = 20_011
+
+
 def join_splitting_hot_keys(
     many: DataFrame,
     few: DataFrame,
@@ -109,7 +113,7 @@ def join_splitting_hot_keys(
         return many.join(few, many[f"`{many_key}`"] == few[f"`{few_key}`"], how)
     dealt = F.when(
         _quoted(many_key).isin(hot),
-        F.pmod(F.xxhash64(*[_quoted(c) for c in many.columns]), F.lit(pieces)),
+        F.floor(F.rand(_PIECE_SEED) * pieces),
     ).otherwise(F.lit(0))
     left = many.withColumn("_piece", dealt.cast("int"))
     repeats = F.when(
@@ -125,11 +129,11 @@ def without_keys(frame: DataFrame, held: DataFrame, keys: dict[str, str]) -> Dat
     """Rows of ``frame`` whose key is not among the ``held`` keys.
 
     ``keys`` maps the frame's key columns to the held table's. A held key with a null in
-    it removes nothing. Held keys are made distinct first: repeats collapse in each task,
-    and the join reuses the partitioning that the distinct leaves behind.
+    it removes nothing. Repeats among the held keys change nothing, so no aggregate stands between
+    the shuffle and the join, and adaptive execution can split a hot key.
     """
     taken = held.select(*[_quoted(h).alias(f"_held_{f}") for f, h in keys.items()])
-    taken = taken.dropna().distinct()
+    taken = taken.dropna()
     condition = [frame[f"`{f}`"] == taken[f"_held_{f}"] for f in keys]
     return frame.join(taken, condition, "left_anti")
 

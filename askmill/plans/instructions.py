@@ -11,7 +11,7 @@ from askmill.functions import urls as U
 from askmill.functions.jsontext import json_object
 from askmill.operators.filters import drop_exact
 from askmill.operators.joins import lookup
-from askmill.sources.api import MAX_COUNT, api_rows
+from askmill.sources.api import api_rows
 
 # Metadata keys of the two answer shapes, the response that counts as blank,
 # and the column names of a member's answers.
@@ -68,7 +68,7 @@ def project(frame: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
     return frame.select(*[expression.alias(name) for name, expression in columns.items()])
 
 
-def member_answers(pages: DataFrame, max_count: int = MAX_COUNT) -> DataFrame:
+def member_answers(pages: DataFrame, max_count: int | None = None) -> DataFrame:
     """A member's answers out of landed API pages, nested fields brought to columns."""
     item = (
         F.col("author.name"),
@@ -88,7 +88,7 @@ def member_answers_to_instructions(
     pages: DataFrame,
     contents: DataFrame,
     source: str,
-    max_count: int = MAX_COUNT,
+    max_count: int | None = None,
     spaced: bool = False,
 ) -> DataFrame:
     """Instruction rows of a member's answers.

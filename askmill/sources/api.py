@@ -8,9 +8,8 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from askmill.schemas import API_PAGE
 
-# Answers to a page, and the default bound on the page offset.
+# Fixed value: answers to a page.
 PAGE_SIZE = 20
-MAX_COUNT = 100_000
 
 
 def read_api_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -21,20 +20,17 @@ def read_api_pages(spark: SparkSession, path: str, multi_line: bool = False) ->
     return spark.read.schema(schema).option("multiLine", multi_line).json(path)
 
 
-def _is_last(max_count: int) -> Column:
+def _is_last(max_count: int | None) -> Column:
     size = F.coalesce(F.size("data"), F.lit(0))
-    return (
-        (size <= 0)
-        | (F.col("offset") >= F.col("paging.totals"))
-        | (F.col("offset") > max_count)
-    )
+    last = (size <= 0) | (F.col("offset") >= F.col("paging.totals"))
+    return last if max_count is None else last | (F.col("offset") > max_count)
 
 
-def kept_pages(pages: DataFrame, max_count: int = MAX_COUNT) -> DataFrame:
+def kept_pages(pages: DataFrame, max_count: int | None = None) -> DataFrame:
     """The pages that paging would have read before it stopped.
 
     A member's paging stops at the first page that is empty, at or past the total, or past
-    ``max_count``; the bound is strict and on the page's offset, so up to one page more
+    ``max_count`` where the caller sets one; the bound is strict and on the page's offset, so up to one page more
     than ``max_count`` rows may come through. A page without paging details that is
     reached before the stop voids the member.
     """
@@ -55,7 +51,7 @@ def kept_pages(pages: DataFrame, max_count: int = MAX_COUNT) -> DataFrame:
     return joined.where(~voided & before_stop).drop("void_at", "stop_at")
 
 
-def api_rows(pages: DataFrame, max_count: int = MAX_COUNT) -> DataFrame:
+def api_rows(pages: DataFrame, max_count: int | None = None) -> DataFrame:
     """One row per answer: ``member``, ``offset`` and the payload's fields."""
     return kept_pages(pages, max_count).select(
         "member", "offset", F.explode("data").alias("item")

@@ -18,9 +18,6 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 REJECT_COLUMN = "_rejected_line"
 FILE_COLUMN = "_source_file"
 
-# Each distinct header line becomes one scan; more than this points at a wrong folder.
-MAX_LAYOUTS = 200
-
 
 def read_csv(
     spark: SparkSession,
@@ -115,11 +112,8 @@ def read_csv_files(
             _headers(spark, path, glob, required)
             .groupBy("line")
             .agg(F.collect_list("file").alias("files"))
-            .limit(MAX_LAYOUTS + 1)
             .collect()
         )
-        if len(files_by_header) > MAX_LAYOUTS:
-            raise ValueError(f"more than {MAX_LAYOUTS} different header lines under {path}")
         frames = [scan(row["line"].split(","), row["files"]) for row in files_by_header]
     extra = [StructField(REJECT_COLUMN, StringType()), StructField(FILE_COLUMN, StringType())]
     empty = spark.createDataFrame([], StructType([*schema.fields, *extra]))

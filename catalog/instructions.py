@@ -173,7 +173,7 @@ WHERE (o.o_orderkey // 20) * 20 < (SELECT count(*) FROM orders)
 @query(_MEMBER)
 def member_answer_table(spark: SparkSession, folder: str) -> DataFrame:
     """API pages unpacked to the nine columns of a member's answers."""
-    return member_answers(order_api_pages(spark, folder), max_count=10**12)
+    return member_answers(order_api_pages(spark, folder))
 
 
 @query(_MEMBER + " AND (o.o_orderkey // 20) * 20 <= 1000")
@@ -200,7 +200,7 @@ def user_answer_instructions(spark: SparkSession, folder: str) -> DataFrame:
         strip_text(F.concat_ws(" ", "o_orderstatus", "o_orderpriority")).alias("content"),
     )
     pages = order_api_pages(spark, folder)
-    return member_answers_to_instructions(pages, contents, SOURCE, max_count=10**12)
+    return member_answers_to_instructions(pages, contents, SOURCE)
 
 
 @query(

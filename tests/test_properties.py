@@ -11,6 +11,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from askmill.sources import api
 from askmill import sinks
 from askmill.operators import batches, counts, custom, dedup, joins
 from askmill.plans.comments import relate_comments
@@ -94,13 +95,6 @@ def test_buckets_are_dealt_in_turn(spark):
     assert {r["id"]: r["name"] for r in dealt.collect()} == {i: "abc"[i % 3] for i in range(10)}
 
 
-def test_large_bucket_tables_are_not_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(batches, "BROADCAST_BUCKETS", 2)
-    names = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "position long, name string")
-    dealt = batches.assign_buckets(spark.range(10), names, ["id"])
-    assert {r["id"]: r["name"] for r in dealt.collect()} == {i: "abc"[i % 3] for i in range(10)}
-
-
 def test_spread_leaves_a_scan_of_many_partitions(spark):
     many = spark.range(0, 100, 1, 64)
     assert batches.spread(many) is many
@@ -346,3 +340,18 @@ def test_stream_rejects_another_header(spark, tmp_path):
     query = ingest_stream(swapped, str(tmp_path / "sink"), ["a"], str(tmp_path / "state"))
     with pytest.raises(Exception, match="(?i)header"):
         query.awaitTermination()
+
+
+def test_members_have_no_bound_unless_one_is_asked_for(spark):
+    page = "member string, offset long, data array<struct<id: long>>, paging struct<totals: long>"
+    pages = spark.createDataFrame([("m", n, [(n,)], (200_000,)) for n in (0, 100_000, 100_020)], page)
+    assert api.api_rows(pages).count() == 3
+    assert api.api_rows(pages, 50_000).count() == 1
+
+
+def test_equal_rows_of_a_hot_key_use_many_pieces(spark):
+    many = spark.range(20_000).select(F.lit(1).alias("k"), F.lit("x").alias("v"))
+    few = spark.createDataFrame([(1, "y")], "f int, w string")
+    joined = joins.join_splitting_hot_keys(many, few, "k", "f")
+    assert joined.count() == 20_000
+    assert "rand(" in joined._jdf.queryExecution().optimizedPlan().toString()
