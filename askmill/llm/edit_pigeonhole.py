@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from askmill.llm.common import id_and_text, marked_ids, unmarked_ids
 
-RATE, LEAST, BLOCK, GRAM, SLOTS = 0.05, 24, 2_000_000, 12, 22
+RATE, LEAST, BLOCK, GRAM, SLOTS = 0.1, 24, 2_000_000, 12, 22
 
 
 def folded_text(text: str | None) -> str:
