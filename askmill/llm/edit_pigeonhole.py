@@ -5,7 +5,9 @@ a text with at most e edits, at least one piece stands there unchanged, so an ex
 the pieces loses no match. The hashes of all character runs as long as the shortest piece, up to
 ``GRAM``, are looked up in a table of the pieces' beginnings, in numpy for a whole text at once;
 where one is found the piece itself is compared. Hits on nearby diagonals of an item are
-verified together by Myers' bit-parallel edit distance over the stretch they allow.
+verified together by Myers' bit-parallel edit distance over the stretch they allow. Before that the
+item's distinct runs of ``SHORT`` characters are counted in the stretch: an edit spoils at most
+``SHORT`` of them, so a stretch that lacks more than ``SHORT`` times the budget holds no match.
 
 Texts and items are compared in lower case with runs of white space as one blank; places are counted
 there. The budget is ``RATE`` of the item's characters, rounded down. Items of fewer than
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from askmill.llm.common import id_and_text, marked_ids, unmarked_ids
 
-RATE, LEAST, BLOCK, GRAM, SLOTS = 0.1, 24, 2_000_000, 12, 22
+RATE, LEAST, BLOCK, GRAM, SLOTS, SHORT = 0.1, 24, 2_000_000, 12, 22, 5
 
 
 def folded_text(text: str | None) -> str:
@@ -110,6 +112,7 @@ class Matcher:
         self.known = np.sort(np.fromiter(self.starts, np.uint32, len(self.starts)))
         self.searches = bool(owners)
         self.masks: dict[int, tuple[dict, dict]] = {}
+        self.short: dict[int, set[int]] = {}
 
     def find(self, text: str | None) -> list[tuple[int, int, int, int]]:
         """(item_id, distance, start, stop) of each item's best place in the text, if in budget."""
@@ -127,11 +130,15 @@ class Matcher:
                     for number, offset in where:
                         hits.setdefault(number, set()).add(place - offset)
         found = []
+        runs = run_hashes(text, SHORT) if hits else hashes
         for number, starts in sorted(hits.items()):
             item_id, item, budget = self.items[number]
+            short = self._short(number)
             best = None
             for low, high in self._stretches(sorted(starts), len(item), budget):
                 low = max(0, low)
+                if len(short.difference(runs[low : max(low, high - SHORT + 1)].tolist())) > SHORT * budget:
+                    continue
                 distance, stop = nearest(self._masks(number)[0], len(item), text[low:high])
                 if distance <= budget and (best is None or distance < best[0]):
                     best = (distance, low, low + stop)
@@ -155,6 +162,11 @@ class Matcher:
                 joined.append([low, high])
         return [(low, high) for low, high in joined]
 
+    def _short(self, number: int) -> set[int]:
+        if number not in self.short:
+            self.short[number] = set(run_hashes(self.items[number][1], SHORT).tolist())
+        return self.short[number]
+
     def _masks(self, number: int) -> tuple[dict, dict]:
         if number not in self.masks:
             item = self.items[number][1]
