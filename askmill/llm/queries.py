@@ -17,7 +17,7 @@ from askmill.llm import (
     toxicity,
     url_trie,
 )
-from askmill.llm.common import table
+from askmill.llm.common import saved, table
 from askmill.session import work_path
 
 #: The folder of the public tokenizers; None: the installed package's own.
@@ -84,14 +84,15 @@ def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op4_jump_shards(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    text = F.coalesce("text", F.lit("")).cast("binary")
     narrow = docs.select(
         "doc_id",
         (F.octet_length(text) + 16).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
         F.lit("key").alias("law"),
     )
-    dealt = jump_shards.shard(narrow, 40)
+    # Slots need the rows twice: written once without the texts, so that those are read once.
+    dealt = saved(jump_shards.shard(narrow, 40), "dealt")
     return jump_shards.number_slots(dealt, ["doc_id", "text_crc32", "size"])
 
 
