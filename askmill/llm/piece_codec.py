@@ -14,7 +14,8 @@ vocabulary; a model with such pieces is encoded whole. Chunks recur, so each Pyt
 the ids of those it has met, and the new ones of a batch are encoded together by the library's threads.
 
 Parity: every new chunk is also encoded by the sentencepiece library, and every whole text's ids are
-decoded by it and compared with the decoding here. ``parity`` is true where all agree.
+decoded by it and compared with the decoding here, which joins the pieces' bytes and leaves ids
+that make no valid text to the rebuilt decoder. ``parity`` is true where all agree.
 
 Null text is empty and has no tokens.
 """
@@ -152,6 +153,11 @@ class Codec:
         self.quick = self.plain and self.chunk is not None and self.model.dummy_prefix
         self.peer = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.known: dict[str, tuple[bytes, bool]] = {}
+        byte = re.compile("<0x([0-9A-F]{2})>")
+        self.spelled = [
+            bytes.fromhex(found[1]) if (found := byte.fullmatch(p)) else p.replace(MARK, " ").encode()
+            for p, _, _ in self.model.pieces
+        ]
 
     def prepared(self, text: str) -> str:
         text = text.replace(" ", MARK) if self.plain else self.rewriter.normalize_str(text)
@@ -187,7 +193,15 @@ class Codec:
         return [b"".join([x for x, _ in f]) for f in found], [all([y for _, y in f]) for f in found]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
-        return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        """Pieces joined as bytes; ids that make no valid text go through the library's decoder."""
+        return [self._decoded(x) for x in ids]
+
+    def _decoded(self, ids: list[int]) -> str:
+        try:
+            text = b"".join(map(self.spelled.__getitem__, ids)).decode()
+        except UnicodeDecodeError:
+            return self.tokenizer.decode(ids, skip_special_tokens=False)
+        return text[1:] if self.model.dummy_prefix and text[:1] == " " else text
 
 
 _CODECS: dict[str, Codec] = {}
