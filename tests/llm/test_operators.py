@@ -213,6 +213,14 @@ def test_pieces_equal_sentencepiece_on_whole_texts(spark):
     assert piece_codec.encode(frame(spark, []), path).count() == 0
 
 
+def test_joined_bytes_decode_like_the_library():
+    codec = piece_codec.codec(queries.tokenizer_file("piece_bpe_32k.model"))
+    rng = np.random.default_rng(5)
+    lists = [rng.integers(0, len(codec.spelled), n % 9).tolist() for n in range(600)]
+    lists += [rng.integers(3, 259, n % 7).tolist() for n in range(600)]
+    assert codec.decode(lists) == codec.tokenizer.decode_batch(lists, skip_special_tokens=False)
+
+
 # 9: URLs
 
 def test_trie_equals_plain_rules_and_the_join(spark):
