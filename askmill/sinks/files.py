@@ -5,34 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows to a CSV file: a quoted line break makes a file unsplittable on reading, so files
-# must stay small enough for one task each.
-CSV_ROWS_PER_FILE = 1_000_000
 
-
-def _csv_writer(frame: DataFrame, mode: str):
+def _csv_writer(frame: DataFrame, mode: str, rows_per_file: int | None):
     return (
         frame.write.mode(mode)
         .option("header", True)
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .option("maxRecordsPerFile", CSV_ROWS_PER_FILE)
+        .option("maxRecordsPerFile", rows_per_file or 0)
     )
 
 
-def write_csv(frame: DataFrame, path: str, quote_all: bool = False) -> None:
-    """Replace a CSV dataset: a header in every part file, blanks kept, no index column."""
-    _csv_writer(frame, "overwrite").option("quoteAll", quote_all).csv(path)
+def write_csv(
+    frame: DataFrame, path: str, quote_all: bool = False, rows_per_file: int | None = None
+) -> None:
+    """Replace a CSV dataset: a header in every part file, blanks kept, no index column.
+
+    A quoted line break makes a file unsplittable on reading: ``rows_per_file`` keeps files small
+    enough for one task each. Without it the frame's partitions decide.
+    """
+    _csv_writer(frame, "overwrite", rows_per_file).option("quoteAll", quote_all).csv(path)
 
 
-def append_csv(frame: DataFrame, path: str) -> None:
+def append_csv(frame: DataFrame, path: str, rows_per_file: int | None = None) -> None:
     """Add part files to a CSV dataset; each has a unique name and its own header.
 
     Nothing is written for an empty frame.
     """
     if not frame.isEmpty():
-        _csv_writer(frame, "append").csv(path)
+        _csv_writer(frame, "append", rows_per_file).csv(path)
 
 
 def write_parquet(
