@@ -15,7 +15,7 @@ Grouping loses no link that shares a band:
    0.8 about one in thirty thousand falls below), the others are confirmed on their full sets.
 4. Components of the confirmed links. A bucket that still holds several components is compared
    once more on full sets, in pairs of blocks of ``BLOCK`` members, for pairs across components
-   whose signatures agree; a block returns a spanning forest of its links, and the components follow.
+   whose signatures agree. Products of 0/1 matrices count what their sets share; a block returns a spanning forest of its links, and the components follow.
 
 Words are runs without ASCII white space, A-Z lower-cased; the set of a text is its distinct
 five-word shingles, the whole sequence where it has fewer words, and empty without words. Empty
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from askmill.llm.common import by_characters, id_and_text, marked_ids, saved, unmarked_ids
 from askmill.llm.components import components
 
-WORDS, PLACES, ROWS, AGREE, BLOCK = 5, 64, 4, 38, 256
+WORDS, PLACES, ROWS, AGREE, BLOCK, BLOCK_SHINGLES = 5, 64, 4, 38, 256, 1 << 20
 BANDS = PLACES // ROWS
 CHARACTERS = 1 << 21
 
@@ -226,22 +226,31 @@ def group(docs: DataFrame, percent: int = 85) -> DataFrame:
 def _across(members: DataFrame, named: DataFrame, classes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Confirmed links across components within a bucket, compared block by block on full sets.
 
-    Of the links found in a pair of blocks only a spanning forest is returned. A pair that shares
-    several buckets is compared in the first of its bands only.
+    A block holds about ``BLOCK`` members or ``BLOCK_SHINGLES`` shingles, whichever is less. Of the links
+    found in a pair of blocks only a spanning forest is returned. A pair that shares several
+    buckets is compared in the first of its bands only.
     """
-    named = members.select("key", "node", "size").join(named, "node", "left")
+    # The one pair of a bucket of two was among the stars.
+    named = members.where("size > 2").select("key", "node", "size").join(named, "node", "left")
     named = named.withColumn("name", F.coalesce("component_id", "node"))
-    mixed_up = named.groupBy("key").agg(F.min("name").alias("low"), F.max("name").alias("high")).where("low != high")
-    held = named.join(mixed_up.select("key"), "key", "left_semi").select("key", "node", "name", "size")
     facts = classes.select("node", "n", "bands", "marks").dropDuplicates(["node"])
-    held = held.join(facts, "node").join(texts.select(F.col("doc_id").alias("node"), "text"), "node")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    held = held.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), blocks - 1))
+    named = named.join(facts, "node")
+    mixed_up = (
+        named.groupBy("key")
+        .agg(F.min("name").alias("low"), F.max("name").alias("high"), F.sum("n").alias("total"))
+        .where("low != high")
     )
-    held = held.select(
-        "key", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"),
-        "block", "node", "name", "n", "bands", "marks", "text",
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("total") / BLOCK_SHINGLES)).cast("int")
+    held = (
+        named.join(mixed_up.select("key", "total"), "key")
+        .withColumn("blocks", blocks)
+        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            "key", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"),
+            "block", "node", "name", "n", "bands", "marks",
+        )
+        .join(texts.select(F.col("doc_id").alias("node"), "text"), "node")
     )
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
@@ -252,7 +261,23 @@ def _across(members: DataFrame, named: DataFrame, classes: DataFrame, texts: Dat
         bands = np.array(frame["bands"].tolist(), dtype=np.int64)
         shared_first = _shared_band(bands)
         one, two = frame["one"].iloc[0], frame["two"].iloc[0]
-        sets: dict[int, np.ndarray] = {}
+        near = np.zeros((len(frame), len(frame)), bool)
+        for n in np.flatnonzero(blocks == one):
+            row = (blocks == two) & (names != names[n]) & ((marks == marks[n]).sum(axis=1) >= AGREE)
+            row &= 100 * np.minimum(sizes, sizes[n]) >= percent * np.maximum(sizes, sizes[n])
+            row &= (bands[:, :shared_first] != bands[n, :shared_first]).all(axis=1)
+            if one == two:
+                row[: n + 1] = False
+            near[n] = row
+        rows, columns = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
+        used = np.union1d(rows, columns)
+        sets = {n: shingle_set(frame["text"].iat[n]) for n in used.tolist()}
+        both = _shared_counts([sets[n] for n in rows.tolist()], [sets[n] for n in columns.tolist()])
+        lengths = np.zeros(len(frame), np.int64)
+        lengths[used] = [len(sets[n]) for n in used.tolist()]
+        either = lengths[rows][:, None] + lengths[columns][None, :] - both
+        linked = near[np.ix_(rows, columns)] & (both > 0) & (100 * both >= percent * either)
+
         root = {name: name for name in names.tolist()}
 
         def top(name: int) -> int:
@@ -260,31 +285,46 @@ def _across(members: DataFrame, named: DataFrame, classes: DataFrame, texts: Dat
                 root[name] = name = root[root[name]]
             return name
 
-        def full(n: int) -> np.ndarray:
-            if n not in sets:
-                sets[n] = shingle_set(frame["text"].iat[n])
-            return sets[n]
-
         found = []
-        for n in np.flatnonzero(blocks == one).tolist():
-            near = (blocks == two) & (names != names[n]) & ((marks == marks[n]).sum(axis=1) >= AGREE)
-            near &= 100 * np.minimum(sizes, sizes[n]) >= percent * np.maximum(sizes, sizes[n])
-            near &= (bands[:, :shared_first] != bands[n, :shared_first]).all(axis=1)
-            if one == two:
-                near[: n + 1] = False
-            for m in np.flatnonzero(near).tolist():
-                a, b = top(int(names[n])), top(int(names[m]))
-                if a == b:
-                    continue
-                both = len(np.intersect1d(full(n), full(m), assume_unique=True))
-                if both and 100 * both >= percent * (len(full(n)) + len(full(m)) - both):
-                    root[max(a, b)] = min(a, b)
-                    found.append((nodes[n], nodes[m]))
+        for n, m in zip(*(part.tolist() for part in np.nonzero(linked)), strict=True):
+            n, m = rows[n], columns[m]
+            a, b = top(int(names[n])), top(int(names[m]))
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                found.append((nodes[n], nodes[m]))
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return saved(held.groupBy("key", "one", "two").applyInPandas(compare, "a long, b long"), "further-links")
 
 
+def _shared_counts(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """Sizes of all intersections of two lists of sets, as products of 0/1 matrices.
+
+    Only shingles that both lists hold can count; ``width`` of them are multiplied at a time.
+    """
+    counts = np.zeros((len(left), len(right)), np.int64)
+    if not left or not right:
+        return counts
+    values = [np.concatenate(side) for side in (left, right)]
+    owners = [np.repeat(np.arange(len(side)), [len(s) for s in side]) for side in (left, right)]
+    common = np.intersect1d(*values)
+    placed = []
+    for value, owner in zip(values, owners, strict=True):
+        place = np.searchsorted(common, value)
+        hit = common.take(place, mode="clip") == value if len(common) else np.zeros(len(value), bool)
+        order = np.argsort(place[hit], kind="stable")
+        placed.append((place[hit][order], owner[hit][order]))
+    for start in range(0, len(common), width):
+        parts = []
+        for (place, owner), side in zip(placed, (left, right), strict=True):
+            low, high = np.searchsorted(place, [start, start + width])
+            part = np.zeros((len(side), width), np.float32)
+            part[owner[low:high], place[low:high] - start] = 1
+            parts.append(part)
+        counts += np.rint(parts[0] @ parts[1].T).astype(np.int64)
+    return counts
+
+
 def _shared_band(bands: np.ndarray) -> int:
     """The band of a bucket: the first in which all its members agree."""
     same = (bands == bands[0]).all(axis=0)
