@@ -10,11 +10,11 @@ from __future__ import annotations
 
 import re
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from askmill.functions.text import (
+    TAG_BODY,
     bound,
     decode_entities,
     join_parts,
@@ -27,13 +27,25 @@ _NOT_MARKUP = (
     r"|script\b.*?(?:</script\s*>|\z)"
     r"|style\b.*?(?:</style\s*>|\z))"
 )
-_P_OPEN = r"(?i)<p(?:\s[^>]*)?>"
+_P_OPEN = rf"(?i)<p(?:\s{TAG_BODY})?>"
 _P_CLOSE = r"(?i)</p\s*>"
 _FROM_P_CLOSE = r"(?is)</p\s*>.*\z"
 _FROM_BLOCK_CLOSE = (
     r"(?is)</(?:article|aside|body|div|footer|header|html|main|nav|section|td)\s*>.*\z"
 )
-_HREF = r"""(?is)<[a-z][^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+_START_TAG = rf"(?is)<[a-z]{TAG_BODY}>"
+_VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
+
+
+def _attributes_before(name: str) -> str:
+    """Pattern of a tag's attributes up to the first of this name and its equals sign.
+
+    Whole pairs of name and value are stepped over, so a value that looks like the attribute is not
+    taken for it.
+    """
+    pair = r"""(?:[^\s=>/"']++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))?+|["'=])"""
+    wanted = rf"{re.escape(name)}\s*="
+    return rf"(?:[\s/]*+(?!{wanted}){pair})*+[\s/]*+{wanted}\s*"
 
 
 def markup_only(html: Column) -> Column:
@@ -75,72 +87,23 @@ def paragraph_text(markup: Column) -> Column:
     return join_parts(paragraphs(markup), " ")
 
 
-def nested_paragraph_text(html: Column) -> Column:
-    """Paragraph text under tree rules, in Arrow batches.
-
-    Where a paragraph is left open, a tree parser nests those that follow inside it and
-    lists their text again for each; this function gives that reading.
-    """
-
-    @F.pandas_udf("string")
-    def read(pages: pd.Series) -> pd.Series:
-        from html.parser import HTMLParser
-
-        # Elements that never have an end tag.
-        empty = {
-            "area", "base", "br", "col", "embed", "hr", "img", "input", "keygen", "link",
-            "menuitem", "meta", "param", "source", "track", "wbr", "basefont", "bgsound",
-            "command", "frame", "image", "isindex", "nextid", "spacer",
-        }
-
-        class Paragraphs(HTMLParser):
-            def __init__(self):
-                super().__init__(convert_charrefs=True)
-                self.open_tags, self.text, self.spans = [], [], []
-
-            def handle_starttag(self, tag, attrs):
-                if tag in empty:
-                    return
-                slot = None
-                if tag == "p":
-                    slot = len(self.spans)
-                    self.spans.append([len(self.text), None])
-                self.open_tags.append((tag, slot))
-
-            def handle_endtag(self, tag):
-                if all(name != tag for name, _ in self.open_tags):
-                    return
-                name = None
-                while name != tag:
-                    name, slot = self.open_tags.pop()
-                    if slot is not None:
-                        self.spans[slot][1] = len(self.text)
-
-            def handle_data(self, data):
-                if not self.open_tags or self.open_tags[-1][0] not in ("script", "style"):
-                    self.text.append(data)
-
-        def page_text(page):
-            reader = Paragraphs()
-            reader.feed(page)
-            reader.close()
-            return " ".join(
-                "".join(reader.text[start:end]).strip() for start, end in reader.spans
-            )
-
-        return pages.map(page_text, na_action="ignore")
-
-    return read(html)
-
-
 def hrefs(markup: Column) -> Column:
     """Array with the href value of every element that has one, as written."""
-    found = F.regexp_extract_all(markup, F.lit(_HREF), F.lit(1))
+    tags = F.regexp_extract_all(markup, F.lit(_START_TAG), F.lit(0))
+    likely = F.filter(tags, lambda tag: tag.rlike(r"(?i)href"))
+    found = F.filter(
+        F.transform(likely, lambda tag: F.regexp_extract(tag, _attribute_pattern("href"), 1)),
+        lambda raw: raw != "",
+    )
+    return F.transform(F.transform(found, _unquoted), strip_text)
+
+
+def _attribute_pattern(name: str) -> str:
+    return rf"(?is)^<[a-z][^\s/>]*+{_attributes_before(name)}{_VALUE}"
 
-    def value(raw: Column) -> Column:
-        return strip_text(decode_entities(F.regexp_replace(raw, r"""^["']|["']\z""", "")))
 
-    return F.transform(found, value)
+def _unquoted(raw: Column) -> Column:
+    return decode_entities(F.regexp_replace(raw, r"""^["']|["']\z""", ""), bare_names=False)
 
 
 def _inner_markup(markup: Column, open_pattern: str) -> Column:
@@ -162,7 +125,7 @@ def _inner_markup(markup: Column, open_pattern: str) -> Column:
         return F.concat(F.lit("(?i)</"), tag, F.lit(r"\s*>"))
 
     def _up_to(tag: Column):
-        nested = F.concat(F.lit("(?i)<"), tag, F.lit(r"(?:[\s/][^>]*)?>"))
+        nested = F.concat(F.lit("(?i)<"), tag, F.lit(rf"(?:[\s/]{TAG_BODY})?>"))
         end_tag = F.concat(F.lit("</"), tag, F.lit(">"))
 
         def step(state: Column, piece: Column) -> Column:
@@ -182,13 +145,13 @@ def _inner_markup(markup: Column, open_pattern: str) -> Column:
 
 def element_by_tag(markup: Column, tag: str) -> Column:
     """Inner markup of the first element with this tag name."""
-    return _inner_markup(markup, rf"(?i)<({re.escape(tag)})(?:\s[^>]*)?>")
+    return _inner_markup(markup, rf"(?i)<({re.escape(tag)})(?:\s{TAG_BODY})?>")
 
 
 def _class_pattern(class_name: str) -> str:
     token = re.escape(class_name)
     quoted = rf"""(?:"(?:[^"]*\s)?{token}(?:\s[^"]*)?"|'(?:[^']*\s)?{token}(?:\s[^']*)?')"""
-    return rf"(?is)<([a-z][a-z0-9]*)\s(?:[^>]*\s)?class\s*=\s*{quoted}[^>]*>"
+    return rf"(?is)<([a-z][a-z0-9]*+)(?=[\s/]){_attributes_before('class')}{quoted}{TAG_BODY}>"
 
 
 def element_by_class(markup: Column, class_name: str) -> Column:
@@ -207,14 +170,14 @@ def text_by_tag(markup: Column, tag: str) -> Column:
 
 def _button_pattern(classes: str) -> str:
     words = r"\s+".join(re.escape(word) for word in classes.split())
-    attribute = rf"""class\s*=\s*(?:"\s*{words}\s*"|'\s*{words}\s*')"""
-    return rf"button\s(?:[^>]*\s)?{attribute}[^>]*>.*?</button\s*>"
+    value = rf"""(?:"\s*{words}\s*"|'\s*{words}\s*')"""
+    return rf"button(?=[\s/]){_attributes_before('class')}{value}{TAG_BODY}>.*?</button\s*>"
 
 
 def meta_and_button_elements(markup: Column, classes: str) -> Column:
     """Array of all ``<meta>`` tags and of the buttons with exactly these classes, in order,
     found in one pass over the page."""
-    pattern = rf"(?is)<(?:meta\b[^>]*>|{_button_pattern(classes)})"
+    pattern = rf"(?is)<(?:meta\b{TAG_BODY}>|{_button_pattern(classes)})"
     return F.regexp_extract_all(markup, F.lit(pattern), F.lit(0))
 
 
@@ -230,13 +193,11 @@ def button_text(elements: Column) -> Column:
 
 def _attribute(tag: Column, name: str) -> Column:
     """Value of an attribute, its name matched without case; null where absent."""
-    pattern = rf"""(?is)\s{re.escape(name)}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>/]+)"""
 
     def value(raw: Column) -> Column:
-        bare = F.regexp_replace(raw, r"""^["']|["']\z""", "")
-        return F.when(raw != "", decode_entities(bare))
+        return F.when(raw != "", _unquoted(raw))
 
-    return bound(F.regexp_extract(tag, pattern, 1), value)
+    return bound(F.regexp_extract(tag, _attribute_pattern(name), 1), value)
 
 
 def meta_properties(elements: Column) -> Column:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import html.entities
+import json
 from collections.abc import Callable, Sequence
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,19 +17,18 @@ WHITE_SPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-_TAG = r"</?[a-zA-Z!?][^>]*>"
+#: A tag from its name to its end: a ``>`` inside a quoted value does not end it. Quantifiers are
+#: possessive, so long tags neither backtrack nor recurse. A quote without a partner is plain text.
+TAG_BODY = r"""(?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+"""
+_TAG = rf"</?[a-zA-Z!?]{TAG_BODY}>"
 
-# The XML entities and the no-break space. The ampersand comes last, so that
-# an escaped entity is decoded once and not twice.
-_ENTITIES = {
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&apos;": "'",
-    "&#39;": "'",
-    "&nbsp;": " ",
-    "&amp;": "&",
-}
+# The names and their characters come from the standard table; frequent ones are found first.
+_FREQUENT = ("amp;", "lt;", "gt;", "quot;", "apos;", "nbsp;")
+_NAMED = {name: html.entities.html5[name] for name in (*_FREQUENT, *html.entities.html5)}
+_BARE = sorted((name for name in _NAMED if not name.endswith(";")), key=len, reverse=True)
+# Numbers from 128 to 159 mean the characters of code page 1252 where that has one.
+_C1 = {chr(n): bytes([n]).decode("cp1252", "ignore") for n in range(128, 160)}
+_C1 = {c: plain for c, plain in _C1.items() if plain}
 
 
 def bound(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -50,28 +50,47 @@ def strip_tags(markup: Column) -> Column:
     return F.regexp_replace(markup, _TAG, "")
 
 
-def decode_entities(text: Column) -> Column:
-    """Decode the XML entities and ``&nbsp;`` without leaving the JVM."""
-    for entity, plain in _ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(plain))
-    return text
-
-
-def decode_all_entities(text: Column) -> Column:
-    """Decode every named and numeric HTML entity, in Arrow batches.
+def decode_entities(text: Column, bare_names: bool = True) -> Column:
+    """Decode every named and numeric HTML reference once, without leaving the JVM.
 
-    Python functions are not run on the result of a higher-order function, such as an
-    extracted element, within one projection: pass a frame of such columns through
-    ``computed_once`` first.
+    Unknown names stay as they stand. The old names that need no semicolon are read without one
+    if ``bare_names``, as in text; in attribute values they are not. Numbers that are no character
+    give U+FFFD, those of control characters nothing.
     """
-
-    @F.pandas_udf("string")
-    def unescape(values: pd.Series) -> pd.Series:
-        import html
-
-        return values.map(html.unescape, na_action="ignore")
-
-    return unescape(text)
+    names = f"|(?:{'|'.join(_BARE)})" if bare_names else ""
+    pattern = F.lit(rf"&(?:#[0-9]++;?|#[xX][0-9a-fA-F]++;?|[A-Za-z][A-Za-z0-9]*+;{names})")
+
+    def decoded(value: Column) -> Column:
+        parts = F.zip_with(
+            F.split(value, pattern, -1),
+            F.regexp_extract_all(value, pattern, F.lit(0)),
+            lambda plain, found: F.concat(plain, F.coalesce(_character(found), F.lit(""))),
+        )
+        return F.array_join(parts, "")
+
+    return bound(text, lambda value: F.when(value.contains("&"), decoded(value)).otherwise(value))
+
+
+def _character(reference: Column) -> Column:
+    """The text that one reference stands for; itself if its name is unknown."""
+    named = F.from_json(F.lit(json.dumps(_NAMED)), "map<string,string>")
+    name = F.substring(reference, 2, 64)
+    hexadecimal = F.conv(F.regexp_extract(reference, "([0-9a-fA-F]+);?$", 1), 16, 10)
+    digits = F.when(F.lower(F.substring(reference, 3, 1)) == "x", hexadecimal).otherwise(
+        F.regexp_extract(reference, "([0-9]+);?$", 1)
+    )
+
+    def character(number: Column) -> Column:
+        known = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+        bytes_ = F.unhex(F.lpad(F.hex(F.when(known, number)), 8, "0"))
+        plain = F.translate(F.decode(bytes_, "UTF-32"), "".join(_C1), "".join(_C1.values()))
+        plain = F.regexp_replace(plain, r"[\x01-\x08\x0B\x0E-\x1F\x7F-\x9F]", "")
+        return F.coalesce(plain, F.lit("\ufffd"))
+
+    numeric = bound(digits.try_cast("long"), character)
+    return F.when(F.substring(reference, 2, 1) == "#", numeric).otherwise(
+        F.coalesce(F.try_element_at(named, name), reference)
+    )
 
 
 def remove_literal(text: Column, literals: Sequence[str]) -> Column:

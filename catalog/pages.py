@@ -6,9 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from askmill.functions import html as H
-from askmill.functions.text import decode_all_entities
 from askmill.operators.counts import distinct_count_by
-from askmill.operators.filters import computed_once
 from askmill.plans.links import page_links, region_links, roundtable_links, topic_links
 from catalog.registry import pages_table, query
 
@@ -76,14 +74,6 @@ def page_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("page_id", H.paragraph_text(F.col("m")).alias("content"))
 
 
-@query()
-def page_paragraphs_nested(spark: SparkSession, folder: str) -> DataFrame:
-    """Paragraphs under tree rules, where open paragraphs nest; checked in the tests."""
-    return pages_table(spark, folder).select(
-        "page_id", H.nested_paragraph_text(F.col("html")).alias("content")
-    )
-
-
 @query(
     MARKUP
     + f"""
@@ -115,8 +105,7 @@ FROM cut
 def page_footers(spark: SparkSession, folder: str) -> DataFrame:
     """Footer text with every named entity decoded."""
     cut = pages_table(spark, folder).select("page_id", H.markup_only(F.col("html")).alias("m"))
-    read = computed_once(cut.select("page_id", H.text_by_tag(F.col("m"), "footer").alias("footer")))
-    return read.select("page_id", decode_all_entities(F.col("footer")).alias("footer"))
+    return cut.select("page_id", H.text_by_tag(F.col("m"), "footer").alias("footer"))
 
 
 @query(MARKUP + _links("m"))

@@ -165,12 +165,28 @@ def test_white_space_list_is_pythons():
     assert set(text.WHITE_SPACE) == known
 
 
-def test_entities_are_decoded_once(spark):
-    frame = spark.createDataFrame([("&amp;lt; &lt;b&gt; &copy;&#233;",)], "v string")
-    row = frame.select(
-        text.decode_entities(F.col("v")), text.decode_all_entities(F.col("v"))
-    ).first()
-    assert tuple(row) == ("&lt; <b> &copy;&#233;", "&lt; <b> ©é")
+@pytest.mark.parametrize(
+    "value",
+    [
+        "&amp;lt; &lt;b&gt; &copy;&#233;",
+        "&hellip; &#8220;&#x4e2d;&#X1F600; &nbsp;x",
+        "&#150; &#128;&#0;&#55555;&#99999999;&#99999999999999999999;&#x110000;&#1;|",
+        "&nosuch; & &; &# &#; AT&T &copy 1 &AMP",
+        "&ngE; &acE;",
+        "",
+    ],
+)
+def test_entities_are_decoded_once(spark, value):
+    import html
+
+    frame = spark.createDataFrame([(value,), (None,)], "v string")
+    read = frame.select(text.decode_entities(F.col("v"))).collect()
+    assert [r[0] for r in read] == [html.unescape(value), None]
+
+
+def test_bare_names_stay_in_attributes(spark):
+    frame = spark.createDataFrame([("?a=1&copy=2&amp;b",)], "v string")
+    assert frame.select(text.decode_entities(F.col("v"), False)).first()[0] == "?a=1&copy=2&b"
 
 
 @pytest.mark.parametrize(

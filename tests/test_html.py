@@ -43,70 +43,17 @@ def test_paragraph_text(spark, page, expected):
     assert one(spark, page, H.paragraph_text) == expected
 
 
-@pytest.mark.parametrize(
-    ("page", "expected"),
-    [
-        ("<p>a</p><p>b</p>", "a b"),
-        ("<p>a<p>b</p>", "ab b"),
-        ("<div><p>a<p>b</div><p>c</p>", "ab b c"),
-        ("<p>a<br>b<script>x</script></p>", "ab"),
-        ("<p>&copy;&#233;</p>", "©é"),
-        ("</p><p>x", "x"),
-    ],
-)
-def test_nested_paragraph_text(spark, page, expected):
-    frame = spark.createDataFrame([(page,)], "html string")
-    assert frame.select(H.nested_paragraph_text(F.col("html"))).first()[0] == expected
-
-
-def tree_paragraphs(page):
-    """The tree reading done another way: every start tag of a paragraph is matched to its
-    end by walking the tags, and the text in between is cut out."""
-    import html
-    import re
-
-    page = re.sub(r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>|<!doctype[^>]*>", "", page)
-    empty = {"br", "meta", "img", "link", "hr", "input", "wbr"}
-    tags = list(re.finditer(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)[^>]*>", page))
-    found = []
-    for start in tags:
-        if start.group(1) or start.group(2).lower() != "p":
-            continue
-        before, depth_names = tags[: tags.index(start)], []
-        for tag in before:
-            name = tag.group(2).lower()
-            if name in empty:
-                continue
-            if not tag.group(1):
-                depth_names.append(name)
-            elif name in depth_names:
-                while depth_names.pop() != name:
-                    pass
-        outer = len(depth_names)
-        depth_names.append("p")
-        end = len(page)
-        for tag in tags[tags.index(start) + 1 :]:
-            name = tag.group(2).lower()
-            if name in empty:
-                continue
-            if not tag.group(1):
-                depth_names.append(name)
-            elif name in depth_names:
-                while depth_names.pop() != name:
-                    pass
-                if len(depth_names) <= outer:
-                    end = tag.start()
-                    break
-        inside = re.sub(r"<[^>]*>", "", page[start.end() : end])
-        found.append(html.unescape(inside).strip())
-    return " ".join(found)
-
-
-def test_nested_paragraphs_equal_a_tag_walk(spark, folder):
-    pages = spark.read.parquet(f"{folder}/pages.parquet").limit(12)
-    read = pages.select("html", H.nested_paragraph_text(F.col("html")).alias("content")).collect()
-    for row in read:
-        assert row["content"] == tree_paragraphs(row["html"])
+QUOTED = """<a title="a>b" href="/x">l</a><p title="1>2">hi &hellip;</p><div title="see href=foo">d</div>"""
+
+
+def test_quoted_values_may_look_like_markup(spark):
+    assert one(spark, QUOTED, H.hrefs) == ["/x"]
+    assert one(spark, QUOTED, H.paragraph_text) == "hi …"
+    page = """<i title=">class='x'">no</i><b data-class='x' title='<' class="x y">yes</b><p a='</p>'>t"""
+    assert one(spark, page, lambda m: H.text_by_class(m, "x")) == "yes"
+    page = """<meta title="content=a>" itemprop='url' content='b'><a href=c/d>x</a><a title=it's href="e">"""
+    assert one(spark, page, lambda m: H.contents_of(H.meta_properties(elements(m)), "url")) == ["b"]
+    assert one(spark, page, H.hrefs) == ["c/d", "e"]
 
 
 def test_hrefs_in_all_quotings(spark):

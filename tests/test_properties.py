@@ -244,7 +244,7 @@ def test_pages_are_parsed_once(spark, folder):
 
 
 STREAMED = {"stream_ingest", "stream_totals", "stream_dedup", "stream_answers"}
-PYTHON = {"page_paragraphs_nested", "page_footers", "apply_value_function", "map_batches_function"}
+PYTHON = {"apply_value_function", "map_batches_function"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - STREAMED - PYTHON))
