@@ -198,6 +198,50 @@ def test_repeated_passages_are_found_and_cut(spark):
     assert compact_windows.repeated(frame(spark, [])).count() == 0
 
 
+def met_and_verified(texts):
+    """(a, b) of the texts whose windows meet and hold a passage."""
+    rows, arounds = [], []
+    for n, text in enumerate(texts):
+        key, place, around = compact_windows.window_rows(text)
+        rows.append(np.stack([key, np.full(len(key), n), place], axis=1))
+        arounds.append(around)
+    rows, around = np.concatenate(rows), np.concatenate(arounds)
+    order = np.lexsort(rows.T[::-1])
+    rows, around = rows[order], around[order]
+    met = {}
+    for a, b in compact_windows.partners(rows, around):
+        met.setdefault((rows[a, 1], rows[b, 1]), set()).add(int(rows[b, 2] - rows[a, 2]))
+    sets = [compact_windows.rolled(compact_windows.word_hashes(t)) for t in texts]
+    return {(a, b) for (a, b), lines in met.items() if compact_windows.passages(sets[a], sets[b], lines)}
+
+
+def test_later_holders_behind_a_hot_line_or_variants_meet(spark):
+    rng = random.Random(17)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    join = lambda *parts: " ".join(sum(parts, []))
+    rows, pairs = [], set()
+    for size in (50, 52, 56):
+        for before in range(0, size - 47):
+            line = words(48)
+            whole = words(before) + line + words(size - 48 - before)
+            texts = [join(words(40), line, words(40)) for _ in range(30)]
+            texts += [join(words(20), whole, words(40)), join(words(40), whole, words(20))]
+            assert met_and_verified(texts) == {(30, 31)}
+            pairs.add((len(rows) + 30, len(rows) + 31))
+            rows += [(len(rows) + n, text) for n, text in enumerate(texts)]
+    assert {(r.source_id, r.doc_id) for r in compact_windows.repeated(frame(spark, rows)).collect()} == pairs
+    for _ in range(10):
+        whole, texts = words(52), []
+        for _ in range(60):
+            variant = list(whole)
+            for place in rng.sample(range(52), 3):
+                variant[place] = f"q{rng.randrange(10**6)}"
+            texts.append(join(words(40), variant, words(40)))
+        changed = whole[:26] + ["new"] + whole[27:]
+        texts += [join(words(20), whole, words(40)), join(words(40), changed, words(20))]
+        assert 61 in {b for _, b in met_and_verified(texts)}
+
+
 # 8: pieces
 
 def test_pieces_equal_sentencepiece_on_whole_texts(spark):
