@@ -242,6 +242,23 @@ def test_later_holders_behind_a_hot_line_or_variants_meet(spark):
         assert 61 in {b for _, b in met_and_verified(texts)}
 
 
+def test_short_passages_with_one_change_are_found_as_by_brute_force():
+    rng = random.Random(27)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    missed, held = [], 0
+    for size in (50, 51, 52, 55, 60):
+        for n in range(60):
+            whole = words(size)
+            place = size // 2 + rng.randrange(-4, 5)
+            changed = whole[:place] + ["new"][: n % 3 != 1] + whole[place + (n % 3 > 0) :]
+            texts = [" ".join(words(40) + whole + words(30)), " ".join(words(17) + changed + words(50))]
+            a, b = (compact_windows.rolled(compact_windows.word_hashes(t)) for t in texts)
+            if compact_windows.passages(a, b, range(-len(a), len(b))):
+                held += 1
+                missed += [(size, n)] * (met_and_verified(texts) != {(0, 1)})
+    assert held >= 280 and not missed
+
+
 # 8: pieces
 
 def test_pieces_equal_sentencepiece_on_whole_texts(spark):
