@@ -151,14 +151,28 @@ def extract_links(
 ) -> tuple[DataFrame, DataFrame]:
     """Answer links of all questions that landed topic pages lead to.
 
-    ``question_pages`` holds the landed question pages as ``url`` and ``html``. Returns
-    the links and the ones set aside. ``any_question`` follows every question link of a
+    ``question_pages`` holds the landed question pages as ``url`` and ``html``; a page counts
+    for its question whichever answer its URL names. Returns the links and the ones set aside;
+    see ``questions_not_landed`` for questions without a page. ``any_question`` follows every question link of a
     topic page, such as a roundtable's, and reads the bare answer list of the question.
     """
     linked = question_links(topic_pages, any_question)
     questions = new_questions(linked, viewed, any_question)
-    landed = question_pages.select(F.col("url").alias("question_url"), "html")
-    joined = questions.join(landed, "question_url").withColumnRenamed("question_url", "url")
+    landed = question_pages.select(U.any_question_id(F.col("url")).alias("question_id"), "url", "html")
+    joined = questions.drop("question_url").join(landed, "question_id")
     if any_question:
         return answer_links(joined, ANSWER_LIST_CLASS, own_question=False)
     return answer_links(joined)
+
+
+def questions_not_landed(
+    topic_pages: DataFrame,
+    question_pages: DataFrame,
+    viewed: DataFrame | None = None,
+    any_question: bool = False,
+) -> DataFrame:
+    """The questions ``extract_links`` has no page for, with a ``reject_reason``."""
+    questions = new_questions(question_links(topic_pages, any_question), viewed, any_question)
+    landed = question_pages.select(U.any_question_id(F.col("url")).alias("question_id"))
+    missing = without_keys(questions, landed, {"question_id": "question_id"})
+    return missing.withColumn("reject_reason", F.lit("not landed"))

@@ -252,6 +252,25 @@ def link_rejects(spark: SparkSession, folder: str) -> DataFrame:
     )[1]
 
 
+@query(
+    """
+SELECT 'https://qa.example.com/topic/' || c_nationkey AS topic_url,
+       'https://qa.example.com/question/' || (c_custkey + 1000) || '/answer/' || (c_custkey + 1000)
+       AS question_url,
+       c_custkey + 1000 AS question_id,
+       'not landed' AS reject_reason
+FROM customer
+WHERE c_mktsegment <> 'BUILDING'
+  AND ((c_custkey + 1000) % 3 = 0 OR NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey))
+"""
+)
+def link_questions_not_landed(spark: SparkSession, folder: str) -> DataFrame:
+    """New questions without a page, where those of every third question were not landed."""
+    pages = question_pages(spark, folder)
+    landed = pages.where(F.regexp_extract("url", r"/question/(\d+)", 1).cast("long") % 3 != 0)
+    return L.questions_not_landed(topic_pages(spark, folder), landed, _viewed(spark, folder))
+
+
 @query(
     _FOUND
     + """

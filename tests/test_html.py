@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from askmill.functions import html as H
 from askmill.plans.answers import BLOCK_PAGE_MARK, EMPTY_PAGE_TEXT, extract_answers, read_answers
-from askmill.plans.links import answer_links, extract_links, page_links, region_links
+from askmill.plans.links import answer_links, extract_links, page_links, questions_not_landed, region_links
 
 
 def one(spark, page, make):
@@ -175,6 +175,28 @@ def test_links_of_all_topics(spark):
     assert [r["href"] for r in aside.collect()] == ["https://h/question/5/answer/5x"]
 
 
+def test_questions_landed_elsewhere_or_not_at_all_are_accounted_for(spark):
+    topics = spark.createDataFrame(
+        [("https://h/topic/1", "".join(f'<a href="/question/{n}/answer/1">x</a>' for n in (11, 12, 13)))],
+        "url string, html string",
+    )
+    pages = spark.createDataFrame(
+        [
+            (
+                f"https://h/question/{n}/answer/{landed}",
+                f'<h1 class="QuestionHeader-title">T</h1><div class="Question-main"><a href="/question/{n}/answer/{n}0">a</a></div>',
+            )
+            for n, landed in ((11, 2), (13, 1))
+        ],
+        "url string, html string",
+    )
+    links, aside = extract_links(topics, pages)
+    assert rows(links) == [(11, 110, "T", "https://h/topic/1"), (13, 130, "T", "https://h/topic/1")]
+    assert aside.count() == 0
+    missing = questions_not_landed(topics, pages)
+    assert [(r.question_id, r.reject_reason) for r in missing.collect()] == [(12, "not landed")]
+
+
 def test_a_page_without_a_title_is_set_aside(spark):
     pages = spark.createDataFrame(
         [("t", 5, "https://h/q", '<div class="Question-main"><a href="/question/5/answer/51">a</a></div>')],
