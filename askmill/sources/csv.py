@@ -17,6 +17,7 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 
 REJECT_COLUMN = "_rejected_line"
 FILE_COLUMN = "_source_file"
+_CORRUPT = "_corrupt_line"
 
 
 def read_csv(
@@ -75,7 +76,7 @@ def read_csv_files(
 
     Values are read as text and then typed, so whether a row fits does not depend on the
     columns a query happens to use. Rows that do not fit stay, with nulls for the values
-    that failed and their text in ``_rejected_line``; see ``split_rejects``. Files that cannot be read are
+    that failed and their text in ``_rejected_line``, also those with too few or too many fields; see ``split_rejects``. Files that cannot be read are
     skipped; see ``unread_files``. Columns a file lacks are null, columns the schema lacks
     are dropped. Finding the headers costs one text scan; give ``layout`` when all files
     share one known header and that scan is not made.
@@ -85,8 +86,9 @@ def read_csv_files(
     def scan(names: Sequence[str], files: str | list[str]) -> DataFrame:
         known = [name if name in schema.fieldNames() else f"_other_{i}" for i, name in enumerate(names)]
         raw = (
-            spark.read.schema(StructType([StructField(name, StringType()) for name in known]))
+            spark.read.schema(StructType([StructField(name, StringType()) for name in [*known, _CORRUPT]]))
             .option("header", True)
+            .option("columnNameOfCorruptRecord", _CORRUPT)
             .option("multiLine", multi_line)
             .option("escape", '"')
             .option("ignoreCorruptFiles", True)
@@ -100,7 +102,7 @@ def read_csv_files(
         line = F.concat_ws(",", *[F.coalesce(F.col(f.name), F.lit("")) for f in present])
         return raw.select(
             *[_typed(field).alias(field.name) for field in present],
-            F.when(failed, line).alias(REJECT_COLUMN),
+            F.coalesce(F.col(_CORRUPT), F.when(failed, line)).alias(REJECT_COLUMN),
             F.col("_metadata.file_path").alias(FILE_COLUMN),
         )
 

@@ -13,7 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.storagelevel import StorageLevel
 
 from askmill.operators.batches import hash_bucket
@@ -21,14 +21,26 @@ from askmill.operators.dedup import keep_first
 from askmill.operators.joins import without_keys
 
 BUCKET_COLUMN = "key_bucket"
+#: The text of a CSV row that did not fit; null in all others.
+CORRUPT_COLUMN = "_corrupt_line"
 
 
 def stream_csv(
-    spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    files_per_batch: int | None = None,
+    keep_corrupt: bool = False,
 ) -> DataFrame:
-    """Watch a folder of CSV files that share the schema's header; another header fails."""
+    """Watch a folder of CSV files that share the schema's header; another header fails.
+
+    With ``keep_corrupt`` a column holds the text of rows that do not fit, which ``ingest_stream`` sets aside.
+    """
+    if keep_corrupt:
+        schema = StructType([*schema.fields, StructField(CORRUPT_COLUMN, StringType())])
     reader = (
         spark.readStream.schema(schema)
+        .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
         .option("header", True)
         .option("multiLine", True)
         .option("escape", '"')
@@ -81,20 +93,41 @@ def ingest_stream(
     transform: Callable[[DataFrame], DataFrame] | None = None,
     buckets: int = 64,
     available_now: bool = True,
+    quarantine: str | None = None,
 ) -> StreamingQuery:
     """Append the rows of a stream whose keys the sink does not hold.
 
-    Each micro-batch is transformed, rows with a null key are dropped, one row per key is
+    Each micro-batch is transformed, rows with a null key are set aside, one row per key is
     kept, keys in the sink are removed, and the rest is appended. A batch that is run
     again after a failure finds its own rows in the sink and adds only what is missing.
-    ``metrics`` receives one row per batch: ``batch_id``, ``added``, ``total``. With
+    Rows set aside and those with a text in ``CORRUPT_COLUMN`` go to ``quarantine``, by default the
+    sink's path with ``-quarantine``, as ``batch``, ``reason`` and ``row``. ``metrics`` receives one row per batch: ``batch_id``, ``added``, ``total``. With
     ``available_now`` the query ends when the landed files are used up.
     """
     keys = list(keys)
 
     def append(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        aside = []
+        if CORRUPT_COLUMN in batch.columns:
+            batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+            corrupt = F.col(CORRUPT_COLUMN)
+            bad = batch.where(corrupt.isNotNull())
+            aside.append(bad.select(F.lit("corrupt").alias("reason"), corrupt.alias("row")))
+            held_batch, batch = batch, batch.where(corrupt.isNull()).drop(CORRUPT_COLUMN)
+        else:
+            held_batch = None
         rows = transform(batch) if transform else batch
+        whole = F.lit(True)
+        for key in keys:
+            whole = whole & F.col(key).isNotNull()
+        text = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
+        aside.append(rows.where(~whole).select(F.lit("null key").alias("reason"), text.alias("row")))
+        refused = aside[0] if len(aside) == 1 else aside[0].unionByName(aside[1])
+        # A batch that runs again replaces its own rows.
+        refused.write.mode("overwrite").parquet(f"{quarantine or sink.rstrip('/') + '-quarantine'}/batch={batch_id}")
+        if held_batch is not None:
+            held_batch.unpersist()
         rows = keep_first(rows.dropna(subset=keys), keys)
         rows = hash_bucket(rows, keys, buckets, BUCKET_COLUMN)
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)

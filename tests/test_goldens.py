@@ -406,3 +406,25 @@ def test_union_fills_missing_columns(spark):
     a = spark.createDataFrame([(1, "x")], "k long, v string")
     b = spark.createDataFrame([(2,)], "k long")
     assert rows(joins.union_by_name(a, b)) == [(1, "x"), (2, None)]
+
+
+def test_csv_rows_of_wrong_length_are_rejects(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("qId,aid\n1,2\n3\n4,5,6\n7,\n")
+    frame = sources.read_csv_files(spark, str(tmp_path), schemas.LINKS, ["qId", "aid"])
+    good, bad = sources.split_rejects(frame)
+    assert rows(good.select("qId", "aid")) == [(1, 2), (7, None)]
+    assert sorted(r[0] for r in bad.collect()) == ["3", "4,5,6"]
+
+
+def test_stream_rows_that_do_not_fit_go_to_quarantine(spark, tmp_path):
+    from pyspark.sql.types import StructType
+
+    from askmill.streaming import ingest_stream, stream_csv
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("id,n\n1,2\nzz,4\n5\n,6\n")
+    stream = stream_csv(spark, str(tmp_path / "in"), StructType().add("id", "long").add("n", "long"), keep_corrupt=True)
+    ingest_stream(stream, str(tmp_path / "sink"), ["id"], str(tmp_path / "state")).awaitTermination()
+    assert rows(spark.read.parquet(str(tmp_path / "sink")).select("id", "n")) == [(1, 2)]
+    aside = spark.read.parquet(str(tmp_path / "sink-quarantine")).select("reason", "row")
+    assert rows(aside) == [("corrupt", "5"), ("corrupt", "zz,4"), ("null key", '{"id":null,"n":6}')]
