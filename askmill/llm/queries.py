@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from askmill.llm import (
     compact_windows,
     edit_pigeonhole,
+    fill_middle,
     jump_shards,
     license_scan,
     piece_codec,
@@ -164,3 +165,35 @@ def op9_url_trie(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_edit_pigeonhole(spark: SparkSession, folder: str) -> DataFrame:
     return edit_pigeonhole.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query(
+    r"""
+    WITH hashed AS (
+        SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+    ), cut AS (
+        SELECT doc_id, text, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+            ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4,
+            regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units
+        FROM hashed
+    ), placed AS (
+        SELECT *, len(units) AS n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+            CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+        FROM cut
+    ), parts AS (
+        SELECT *, array_to_string(list_slice(units, 1, a), '') AS p, array_to_string(list_slice(units, a + 1, b), '') AS m,
+            array_to_string(list_slice(units, b + 1, n), '') AS s
+        FROM placed
+    )
+    SELECT doc_id, n::BIGINT AS n, form,
+        CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+        CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+        sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+            ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+        sha256(text) AS restored_sha256
+    FROM parts
+    """
+)
+def op13_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_middle.digests(table(spark, folder, "documents"))
