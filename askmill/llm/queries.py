@@ -12,6 +12,7 @@ from askmill.llm import (
     jump_shards,
     license_scan,
     piece_codec,
+    residue_gemm,
     super_minhash,
     syncmers,
     token_files,
@@ -167,6 +168,36 @@ def op10_edit_pigeonhole(spark: SparkSession, folder: str) -> DataFrame:
     return edit_pigeonhole.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query(
+    """
+    WITH v AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS whole
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+        SELECT a.vec_id AS anchor_id, a.label AS anchor_label, v.vec_id, v.label,
+            list_dot_product(a.whole, v.whole)::BIGINT AS score
+        FROM v AS a JOIN v ON a.vec_id % 100 = 0 AND a.vec_id <> v.vec_id
+    ), positive AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE label = anchor_label
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+    )
+    SELECT p.anchor_id, p.positive_id,
+        (row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id))::INTEGER AS rank,
+        n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+    FROM positive p JOIN scored n ON n.anchor_id = p.anchor_id AND n.label <> n.anchor_label
+        AND 80 * p.positive_score <= 100 * n.score AND n.score <= p.positive_score
+    QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) <= 5
+    """
+)
+def op12_residue_gemm(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return residue_gemm.mine(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 @query(
     r"""
     WITH hashed AS (
