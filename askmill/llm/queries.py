@@ -12,6 +12,7 @@ from askmill.llm import (
     jump_shards,
     license_scan,
     piece_codec,
+    quality_trees,
     residue_gemm,
     super_minhash,
     syncmers,
@@ -168,6 +169,13 @@ def op10_edit_pigeonhole(spark: SparkSession, folder: str) -> DataFrame:
     return edit_pigeonhole.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query()
+def op11_quality_trees(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    trees = quality_trees.train(docs, table(spark, folder, "labels"), held_out())
+    return quality_trees.judge(docs, trees)
+
+
 @query(
     """
     WITH v AS (

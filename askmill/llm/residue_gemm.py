@@ -189,7 +189,7 @@ def quantised(vectors: DataFrame, key: str, vector: str, label: str, anchors: Co
     )
     unfit = F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     parts = parts.where(F.col("label").isNotNull() & F.col("vector").isNotNull() & ~unfit)
-    whole = F.transform("vector", lambda x: F.rint(F.floor(x * scale)))
+    whole = F.transform("vector", lambda x: F.floor(x * scale).cast("double"))
     return parts.select(F.monotonically_increasing_id().alias("uid"), "id", "label", "anchor", whole.alias("vector"))
 
 
