@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, TimestampType
 
 from askmill.session import work_path
 from askmill.sinks import export_parquet
@@ -57,14 +58,54 @@ def batches(
 def skip_first(frame: DataFrame, order: Sequence[str], rows: int) -> DataFrame:
     """All rows but the first few in the given total order.
 
-    The first rows come from a top-k and are removed by their key, so the rest is neither
-    sorted nor moved.
+    The last row to skip is found by selection on the order columns alone (``row_at``); the rest is a plain
+    filter on all rows, which are neither sorted nor moved.
     """
-    keys = list(order)
-    first = frame.select(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in keys]).limit(rows)
-    renamed = first.select(*[F.col(c).alias(f"_first_{c}") for c in keys])
-    same = [F.col(c).eqNullSafe(F.col(f"_first_{c}")) for c in keys]
-    return frame.join(renamed, same, "left_anti")
+    if rows <= 0:
+        return frame
+    last = row_at(frame, order, rows - 1)
+    if last is None:
+        return frame.where(F.lit(False))
+    after = F.lit(False)
+    for name in reversed(list(order)):
+        column, value = F.col(f"`{name}`"), F.lit(last[name]).cast(frame.schema[name].dataType)
+        later = column.isNotNull() if last[name] is None else F.coalesce(column > value, F.lit(False))
+        after = later | (column.eqNullSafe(value) & after)
+    return frame.where(after)
+
+
+#: Rank error of the sketch behind ``row_at``, and how far on either side of the place the bracket begins.
+SKETCH_ACCURACY, SIDE = 10_000, 2e-4
+
+
+def row_at(frame: DataFrame, order: Sequence[str], place: int) -> Row | None:
+    """The order columns of the row at a place, 0 the first, nulls first; None past the end.
+
+    A quantile sketch of the first column brackets the value at that place, the rows below the bracket are counted,
+    and only the rows inside are numbered. The count proves the bracket; one that misses is widened. A
+    column of a type without such a sketch (text) has all its rows numbered.
+    """
+    keys = frame.select(*[F.col(f"`{c}`") for c in order])
+    first, below = F.col(f"`{order[0]}`"), 0
+    inside = F.lit(True)
+    if isinstance(frame.schema[order[0]].dataType, (NumericType, DateType, TimestampType)):
+        total, known = keys.agg(F.count("*"), F.count(first)).first()
+        nulls = total - known
+        if place >= total:
+            return None
+        inside = first.isNull()
+        side = SIDE
+        while place >= nulls:
+            share = (place - nulls) / known
+            ends = F.array(F.lit(max(0.0, share - side)), F.lit(min(1.0, share + side)))
+            low, high = map(F.lit, keys.agg(F.percentile_approx(first, ends, SKETCH_ACCURACY)).first()[0])
+            before, until = keys.agg(F.count_if(first < low), F.count_if(first <= high)).first()
+            if before <= place - nulls < until:
+                inside, below = (first >= low) & (first <= high), nulls + before
+                break
+            side *= 4
+    numbered = with_position(keys.where(inside), order, "_at")
+    return numbered.where(F.col("_at") == place - below).drop("_at").head()
 
 
 def assign_buckets(frame: DataFrame, buckets: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -79,17 +120,6 @@ def assign_buckets(frame: DataFrame, buckets: DataFrame, order: Sequence[str]) -
     return placed.join(side, "_bucket").withColumnRenamed("_bucket", "bucket")
 
 
-def spread(frame: DataFrame) -> DataFrame:
-    """Deal a scan of few partitions evenly over the cores; leave a larger one in place.
-
-    For costly work per row on inputs stored in few files or row groups. A scan with at
-    least two partitions to each core keeps all cores busy as it is and is not shuffled.
-    Meant for plain scans: asking a frame with a shuffle for its partitions runs it.
-    """
-    wanted = 2 * frame.sparkSession.sparkContext.defaultParallelism
-    return frame if frame.rdd.getNumPartitions() >= wanted else frame.repartition(wanted)
-
-
 def hash_bucket(frame: DataFrame, keys: Sequence[str], count: int, name: str = "bucket") -> DataFrame:
     """Give each row a bucket by its key, for when its place in an order does not matter."""
     return frame.withColumn(name, F.pmod(F.xxhash64(*keys), F.lit(count)).cast("int"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -33,6 +33,17 @@ def count_by(frame: DataFrame, *group: str, name: str = "n") -> DataFrame:
     return frame.groupBy(*group).agg(F.count("*").alias(name))
 
 
+def observed(frame: DataFrame) -> tuple[DataFrame, Observation]:
+    """The frame, and the rows that will pass where it is written: no scan of its own."""
+    seen = Observation()
+    return frame.observe(seen, F.count("*").alias("rows")), seen
+
+
+def observed_metrics(spark: SparkSession, stages: dict[str, Observation]) -> DataFrame:
+    """As ``stage_metrics``, from the counts of frames that were ``observed`` and written since."""
+    return spark.createDataFrame([(stage, seen.get["rows"]) for stage, seen in stages.items()], "stage string, rows long")
+
+
 def stage_metrics(stages: dict[str, DataFrame]) -> DataFrame:
     """One row per stage: its name and its row count."""
     counted = [

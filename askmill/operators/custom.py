@@ -14,13 +14,16 @@ from askmill.operators.filters import computed_once
 def apply_value(
     frame: DataFrame, column: str, function: Callable, result_type: str, name: str | None = None
 ) -> DataFrame:
-    """Replace or add a column by a function of one value, run over Arrow batches."""
+    """Replace or add a column by a function of one value, run over Arrow batches.
+
+    The function runs once a value, also where the column is filtered on later.
+    """
 
     def whole_batch(values: pd.Series) -> pd.Series:
         return values.map(function, na_action="ignore")
 
     apply = F.pandas_udf(whole_batch, result_type)
-    return computed_once(frame).withColumn(name or column, apply(F.col(f"`{column}`")))
+    return computed_once(frame.withColumn(name or column, apply(F.col(f"`{column}`"))), [name or column])
 
 
 def map_batches(

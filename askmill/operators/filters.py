@@ -27,12 +27,15 @@ def with_reject_reason(frame: DataFrame, reasons: dict[str, Column]) -> DataFram
     return frame.withColumn("reject_reason", reason)
 
 
-def computed_once(frame: DataFrame) -> DataFrame:
-    """The same rows, with every column computed before any later filter looks at it.
+def computed_once(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The same rows, with these columns computed before any later filter looks at them.
 
     The optimizer moves a filter below the projection it follows by repeating the
     projection's expressions in the filter. For parsed pages that means parsing each page
-    again for every condition. Passing the row through a generator keeps the filter above.
+    again for every condition. Passing the columns through a generator keeps a filter on them above;
+    filters on the other columns still go down to the scan.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in frame.columns])
-    return frame.select(F.inline(F.array(row)))
+    row = F.struct(*[F.col(f"`{c}`") for c in columns])
+    rest = [F.col(f"`{c}`") for c in frame.columns if c not in columns]
+    once = frame.select(*rest, F.inline(F.array(row)))
+    return once.select(*[F.col(f"`{c}`") for c in frame.columns])

@@ -76,19 +76,29 @@ def join_on_shared_key(
     return joined.select(*[_quoted(c) for c in [*left.columns, *rest]])
 
 
+#: Items a sketch of frequent keys holds; its error is below a thousandth of the rows.
+SKETCH_ITEMS = 16_384
+
+
 def hot_keys(frame: DataFrame, key: str, share: float = HOT_SHARE) -> list:
     """The keys that hold at least this share of the rows: at most ``1 / share`` of them.
 
-    Counting reads the key column alone and combines before the shuffle.
+    One pass over the key column, in a sketch of bounded size. Its counts are not too low, so no
+    hot key is missed; a key just below the share may be among them.
     """
-    least = share * frame.count()
-    counts = frame.groupBy(_quoted(key).alias("key")).agg(F.count("*").alias("n"))
-    hot = counts.where(F.col("key").isNotNull() & (F.col("n") >= least))
-    return [row["key"] for row in hot.collect()]
+    most = int(1 / share)
+    top = F.expr(f"approx_top_k(`{key}`, {most}, {max(SKETCH_ITEMS, 4 * most)})").alias("top")
+    found = frame.where(_quoted(key).isNotNull()).agg(F.count("*").alias("n"), top).first()
+    return [entry["item"] for entry in found["top"] or [] if entry["count"] >= share * found["n"]]
 
 
-#: Equal rows of a hot key go to different pieces; any piece is right, as each meets all of ``few``.
-_PIECE_SEED = 20_011
+def _stable_piece(frame: DataFrame, pieces: int):
+    """A piece for each row that is the same when a lost task runs again, in whatever order its rows come.
+
+    Rows that are equal in all columns go apart by the partition they stand in.
+    """
+    hashable = [f.name for f in frame.schema.fields if "map<" not in f.dataType.simpleString()]
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *map(_quoted, hashable)), F.lit(pieces))
 
 
 def join_splitting_hot_keys(
@@ -111,10 +121,7 @@ def join_splitting_hot_keys(
     hot = hot_keys(many, many_key, share)
     if not hot:
         return many.join(few, many[f"`{many_key}`"] == few[f"`{few_key}`"], how)
-    dealt = F.when(
-        _quoted(many_key).isin(hot),
-        F.floor(F.rand(_PIECE_SEED) * pieces),
-    ).otherwise(F.lit(0))
+    dealt = F.when(_quoted(many_key).isin(hot), _stable_piece(many, pieces)).otherwise(F.lit(0))
     left = many.withColumn("_piece", dealt.cast("int"))
     repeats = F.when(
         _quoted(few_key).isin(hot), F.sequence(F.lit(0), F.lit(pieces - 1))
@@ -143,12 +150,26 @@ def key_difference(frame: DataFrame, held: DataFrame, keys: Sequence[str]) -> Da
     return frame.select(*keys).subtract(held.select(*keys))
 
 
+def join_aggregate(frame: DataFrame, aggregate: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join with a side that holds each key once, such as an aggregate by the same keys.
+
+    Such a side comes partitioned by the keys, and a join that takes this over cannot be split at a hot key of the
+    frame. A hash of the keys as one more join column gives both sides an exchange of their own, so adaptive
+    execution splits a hot key of the frame over tasks and repeats the one row of the aggregate for them.
+    """
+    code = F.xxhash64(*map(_quoted, keys))
+    right = aggregate.withColumn("_key_code", code)
+    joined = frame.withColumn("_key_code", code).join(right, [*keys, "_key_code"], how)
+    rest = [] if how in ("left_semi", "left_anti") else [c for c in aggregate.columns if c not in keys]
+    return joined.select(*map(_quoted, [*frame.columns, *rest]))
+
+
 def lookup(frame: DataFrame, values: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add the columns of ``values`` by key; a key without an entry gives nulls.
 
     ``values`` must hold each key once, as ``last_value`` leaves it.
     """
-    return frame.join(values, list(keys), "left")
+    return join_aggregate(frame, values, keys, "left")
 
 
 def lookup_misses(frame: DataFrame, values: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -15,6 +15,7 @@ from askmill.operators.filters import computed_once, with_reject_reason
 from askmill.plans.links import extract_links
 from askmill.schemas import ANSWERS
 from askmill.sinks import create_table_as, export_parquet
+from askmill.sources.landed import LandedPages
 
 # The site's empty-page sentence, the mark of a block page, the vote button's
 # classes, and the invisible character in its caption.
@@ -80,7 +81,7 @@ def read_answers(pages: DataFrame, site: str) -> DataFrame:
         "no author": F.col("author_id").isNull() | F.col("_author_unreadable"),
     }
     judged = with_reject_reason(read, reasons).drop("_status", "_author_unreadable")
-    return computed_once(judged)
+    return computed_once(judged, [c for c in judged.columns if c not in (*ANSWER_KEYS, "question_title")])
 
 
 def extract_answers(pages: DataFrame, site: str) -> tuple[DataFrame, DataFrame]:
@@ -123,8 +124,8 @@ def consolidate_to_table(
 
 def topics_to_answers(
     topic_pages: DataFrame,
-    question_pages: DataFrame,
-    landed_answers: DataFrame,
+    question_pages: DataFrame | LandedPages,
+    landed_answers: DataFrame | LandedPages,
     site: str,
     viewed: DataFrame | None = None,
     any_question: bool = False,
@@ -132,11 +133,14 @@ def topics_to_answers(
     """Answer records reached from topic pages in one pass.
 
     ``landed_answers`` has ``question_id``, ``answer_id`` and ``html``; the question title
-    comes from the question page. ``any_question`` is as in ``extract_links``.
+    comes from the question page. Pages landed in tables (``LandedPages``) are not moved. ``any_question`` is as in ``extract_links``.
     """
     links, _ = extract_links(topic_pages, question_pages, viewed, any_question)
     wanted = links.select(
         F.col("qId").alias("question_id"), F.col("aid").alias("answer_id"), "question_title"
     )
-    pages = wanted.join(landed_answers, list(ANSWER_KEYS))
+    if isinstance(landed_answers, LandedPages):
+        pages = landed_answers.meet(wanted)
+    else:
+        pages = wanted.join(landed_answers, list(ANSWER_KEYS))
     return extract_answers(pages, site)[0]

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from askmill.functions import urls as U
 from askmill.functions.jsontext import json_object
+from askmill.operators.dedup import last_value
 from askmill.operators.filters import drop_exact
-from askmill.operators.joins import lookup
+from askmill.operators.joins import lookup, lookup_misses
 from askmill.sources.api import api_rows
 
 # Metadata keys of the two answer shapes, the response that counts as blank,
@@ -84,25 +85,40 @@ def member_answers(pages: DataFrame, max_count: int | None = None) -> DataFrame:
     return project(api_rows(pages, max_count), dict(zip(MEMBER_COLUMNS, item)))
 
 
+_MEMBER_KEYS = [MEMBER_COLUMNS[7], MEMBER_COLUMNS[6]]
+
+
+def _last_texts(contents: DataFrame, written: str | None) -> DataFrame:
+    question, answer = _MEMBER_KEYS
+    texts = contents.select(
+        F.col("question_id").alias(question),
+        F.col("answer_id").cast("string").alias(answer),
+        F.col("content").alias(MEMBER_CONTENT),
+        F.struct(*[f"`{c}`" for c in [*([written] if written else []), "content"]]).alias("_written"),
+    )
+    return last_value(texts, _MEMBER_KEYS, F.col(MEMBER_CONTENT), F.col("_written"), MEMBER_CONTENT)
+
+
+def member_answer_misses(pages: DataFrame, contents: DataFrame, max_count: int | None = None) -> DataFrame:
+    """The distinct (question, answer) ids of a member's answers that ``contents`` has no text for."""
+    return lookup_misses(member_answers(pages, max_count), _last_texts(contents, None), _MEMBER_KEYS)
+
+
 def member_answers_to_instructions(
     pages: DataFrame,
     contents: DataFrame,
     source: str,
     max_count: int | None = None,
     spaced: bool = False,
+    written: str | None = None,
 ) -> DataFrame:
     """Instruction rows of a member's answers.
 
-    ``contents`` has ``question_id``, ``answer_id`` and ``content``, each pair once. The
-    text is looked up by both ids, so two answers to one question keep their own.
+    ``contents`` has ``question_id``, ``answer_id`` and ``content``. The text is looked up by both ids, so two
+    answers to one question keep their own. Of a pair's several texts the last by ``written`` counts (without it
+    the greatest text), so repeats add no rows; see ``member_answer_misses`` for answers without a text.
     """
-    question, answer = MEMBER_COLUMNS[7], MEMBER_COLUMNS[6]
-    texts = contents.select(
-        F.col("question_id").alias(question),
-        F.col("answer_id").cast("string").alias(answer),
-        F.col("content").alias(MEMBER_CONTENT),
-    )
-    answered = lookup(member_answers(pages, max_count), texts, [question, answer])
+    answered = lookup(member_answers(pages, max_count), _last_texts(contents, written), _MEMBER_KEYS)
     return instruction_rows(
         answered, MEMBER_COLUMNS[8], MEMBER_CONTENT, source, MEMBER_METADATA, spaced
     )

@@ -10,6 +10,7 @@ from askmill.functions import urls as U
 from askmill.operators.dedup import keep_first
 from askmill.operators.filters import computed_once
 from askmill.operators.joins import without_keys
+from askmill.sources.landed import LandedPages
 
 # The page regions that hold a question's title and its answer links.
 TITLE_CLASS = "QuestionHeader-title"
@@ -20,7 +21,7 @@ ANSWER_LIST_CLASS = "QuestionAnswers-answers"
 def _resolved(found: DataFrame, *keep: Column | str) -> DataFrame:
     """Links made absolute against the page's URL; those without ``https://`` go."""
     links = found.select(*keep, U.resolve_url(F.col("_href"), F.col("_page")).alias("href"))
-    return computed_once(links).where(F.col("href").contains(U.SECURE_SCHEME))
+    return computed_once(links, ["href"]).where(F.col("href").contains(U.SECURE_SCHEME))
 
 
 def page_links(pages: DataFrame, *keep: str) -> DataFrame:
@@ -145,21 +146,25 @@ def answer_links(
 
 def extract_links(
     topic_pages: DataFrame,
-    question_pages: DataFrame,
+    question_pages: DataFrame | LandedPages,
     viewed: DataFrame | None = None,
     any_question: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Answer links of all questions that landed topic pages lead to.
 
     ``question_pages`` holds the landed question pages as ``url`` and ``html``; a page counts
-    for its question whichever answer its URL names. Returns the links and the ones set aside;
+    for its question whichever answer its URL names. Pages landed by ``question_id`` in a table
+    (``LandedPages``) are not moved; of a plain frame the pages are shuffled. Returns the links and the ones set aside;
     see ``questions_not_landed`` for questions without a page. ``any_question`` follows every question link of a
     topic page, such as a roundtable's, and reads the bare answer list of the question.
     """
     linked = question_links(topic_pages, any_question)
     questions = new_questions(linked, viewed, any_question)
-    landed = question_pages.select(U.any_question_id(F.col("url")).alias("question_id"), "url", "html")
-    joined = questions.drop("question_url").join(landed, "question_id")
+    wanted = questions.drop("question_url")
+    if isinstance(question_pages, LandedPages):
+        joined = question_pages.meet(wanted)
+    else:
+        joined = wanted.join(question_pages.select(U.any_question_id(F.col("url")).alias("question_id"), "url", "html"), "question_id")
     if any_question:
         return answer_links(joined, ANSWER_LIST_CLASS, own_question=False)
     return answer_links(joined)

@@ -21,6 +21,8 @@ RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Lists of keys this long reach the Bloom filters and statistics of a keyed table.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "500",
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
 }
 
@@ -55,6 +57,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path in its terms."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
+
+
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder for a written table or a stream's state."""
     return f"{shared_folder(spark).rstrip('/')}/work/{label}-{uuid.uuid4().hex}"

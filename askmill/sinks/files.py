@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import time
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from askmill.session import file_system
+
 
 def _csv_writer(frame: DataFrame, mode: str, rows_per_file: int | None):
     return (
@@ -28,13 +33,36 @@ def write_csv(
     _csv_writer(frame, "overwrite", rows_per_file).option("quoteAll", quote_all).csv(path)
 
 
-def append_csv(frame: DataFrame, path: str, rows_per_file: int | None = None) -> None:
-    """Add part files to a CSV dataset; each has a unique name and its own header.
+def counted_write(frame: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Write a frame and return its rows, counted by the write itself."""
+    seen = Observation()
+    write(frame.observe(seen, F.count("*").alias("rows")))
+    return seen.get["rows"]
+
 
-    Nothing is written for an empty frame.
+def drop_empty_files(spark: SparkSession, folder: str, since: float, is_empty: Callable[[str], bool]) -> None:
+    """Remove the files without rows that were written to a folder since a time (seconds).
+
+    Each is looked into first, so that what another writer adds meanwhile stays.
     """
-    if not frame.isEmpty():
-        _csv_writer(frame, "append", rows_per_file).csv(path)
+    system, place = file_system(spark, folder)
+    for status in system.listStatus(place):
+        path = status.getPath()
+        recent = status.getModificationTime() >= (since - 1) * 1000
+        if recent and status.isFile() and path.getName()[0] not in "._" and is_empty(path.toString()):
+            system.delete(path, False)
+
+
+def append_csv(frame: DataFrame, path: str, rows_per_file: int | None = None) -> int:
+    """Add part files to a CSV dataset and return the rows added; a file has a unique name and its own header.
+
+    One job: the rows are counted as they are written, and an empty frame's one file is removed again.
+    """
+    spark, begun = frame.sparkSession, time.time()
+    rows = counted_write(frame, lambda f: _csv_writer(f, "append", rows_per_file).csv(path))
+    if not rows:
+        drop_empty_files(spark, path, begun, lambda name: spark.read.option("header", True).csv(name).isEmpty())
+    return rows
 
 
 def write_parquet(
@@ -81,6 +109,25 @@ def publish(frame: DataFrame, path: str, files: int | None = None) -> DataFrame:
     )
 
 
+def column_list(frame: DataFrame) -> DataFrame:
+    """The columns of a frame in order: ``position``, ``column_name``, ``column_type``, ``rows`` and ``nulls``."""
+    names = frame.columns
+    counts = frame.agg(F.count("*").alias("rows"), *[F.count(f"`{c}`").alias(f"_{n}") for n, c in enumerate(names)])
+    columns = F.array(
+        *[
+            F.struct(
+                F.lit(n).cast("bigint").alias("position"),
+                F.lit(field.name).alias("column_name"),
+                F.lit(field.dataType.simpleString()).alias("column_type"),
+                F.col("rows"),
+                (F.col("rows") - F.col(f"_{n}")).alias("nulls"),
+            )
+            for n, field in enumerate(frame.schema.fields)
+        ]
+    )
+    return counts.select(F.inline(columns))
+
+
 def preview(frame: DataFrame, rows: int = 20) -> list[str]:
     """Show the first rows and return the column names."""
     frame.show(rows, truncate=80)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 
-from askmill.sinks.files import write_parquet
+from askmill.sinks.files import counted_write, drop_empty_files, write_parquet
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
@@ -26,16 +28,23 @@ def create_table_as(frame: DataFrame, name: str, refresh: bool = False) -> bool:
     return True
 
 
-def append_to_table(frame: DataFrame, name: str) -> None:
-    """Append rows by column name, creating the table on first use.
+def append_to_table(frame: DataFrame, name: str) -> int:
+    """Append rows by column name, creating the table on first use; the rows added.
 
-    Nothing is written for an empty frame.
+    One job: the rows are counted as they are written, and an empty frame's one file is removed again.
     """
-    spark = frame.sparkSession
+    spark, begun = frame.sparkSession, time.time()
     if not spark.catalog.tableExists(name):
-        create_table_as(frame, name)
-    elif not frame.isEmpty():
-        spark.sql(f"INSERT INTO {name} BY NAME SELECT * FROM {{rows}}", rows=frame)
+        return counted_write(frame, lambda f: f.write.format("parquet").saveAsTable(name))
+    columns = spark.table(name).columns
+    if sorted(columns) != sorted(frame.columns):
+        raise ValueError(f"{name} has the columns {columns}, the rows have {frame.columns}")
+    ordered = frame.select(*[f"`{c}`" for c in columns])
+    rows = counted_write(ordered, lambda f: f.write.insertInto(name))
+    if not rows:
+        about = {row[0]: row[1] for row in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+        drop_empty_files(spark, about["Location"], begun, lambda file: spark.read.parquet(file).isEmpty())
+    return rows
 
 
 def list_tables(spark: SparkSession, database: str) -> DataFrame:

@@ -1,23 +1,14 @@
-"""CSV readers that bind columns by name and set bad rows aside.
-
-Spark binds a CSV schema by position and looks at the header only to compare it. Link
-files are written by different jobs, so their column order may differ and some begin with
-an unnamed index column. ``read_csv_files`` therefore groups files by header line, reads
-each group under its own column list, and unites the groups by name.
-"""
+"""CSV readers that bind columns by name and set bad rows aside."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
-REJECT_COLUMN = "_rejected_line"
-FILE_COLUMN = "_source_file"
-_CORRUPT = "_corrupt_line"
+from askmill.sources.headed import EXTRA, FILE_COLUMN, FILE_REASONS, REASON_COLUMN, REJECT_COLUMN, read_headed
 
 
 def read_csv(
@@ -44,25 +35,6 @@ def read_csv(
     return frame.select(*[F.col(f"`{c}`") for c in columns]) if columns else frame
 
 
-def _headers(spark: SparkSession, path: str, glob: str, required: Sequence[str]) -> DataFrame:
-    """One row per file: its path and its header line."""
-    lines = (
-        spark.read.option("pathGlobFilter", glob)
-        .option("ignoreCorruptFiles", True)
-        .text(path)
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("start"),
-            F.regexp_replace("value", r"[\x{feff}\"\r]", "").alias("line"),
-        )
-    )
-    names = F.split("line", ",", -1)
-    is_header = F.col("start") == 0
-    for name in required:
-        is_header = is_header & F.array_contains(names, name)
-    return lines.where(is_header).groupBy("file").agg(F.min("line").alias("line"))
-
-
 def read_csv_files(
     spark: SparkSession,
     path: str,
@@ -70,86 +42,27 @@ def read_csv_files(
     required: Sequence[str] | None = None,
     glob: str = "*.csv",
     layout: Sequence[str] | None = None,
-    multi_line: bool = True,
 ) -> DataFrame:
     """Read every matching file of a folder, binding columns by each file's own header.
 
-    Values are read as text and then typed, so whether a row fits does not depend on the
-    columns a query happens to use. Rows that do not fit stay, with nulls for the values
-    that failed and their text in ``_rejected_line``, also those with too few or too many fields; see ``split_rejects``. Files that cannot be read are
-    skipped; see ``unread_files``. Columns a file lacks are null, columns the schema lacks
-    are dropped. Finding the headers costs one text scan; give ``layout`` when all files
-    share one known header and that scan is not made.
+    Rows that do not fit stay, with nulls for the values that failed, their text in
+    ``_rejected_line`` and the reason beside it; see ``split_rejects``. Files that are empty, unreadable or
+    lack a ``required`` column are a row each; see ``unread_files``. Columns a file lacks are
+    null, columns the schema lacks are dropped. ``layout`` names the columns in place of the headers.
     """
-    required = list(required or schema.fieldNames()[:1])
-
-    def scan(names: Sequence[str], files: str | list[str]) -> DataFrame:
-        known = [name if name in schema.fieldNames() else f"_other_{i}" for i, name in enumerate(names)]
-        raw = (
-            spark.read.schema(StructType([StructField(name, StringType()) for name in [*known, _CORRUPT]]))
-            .option("header", True)
-            .option("columnNameOfCorruptRecord", _CORRUPT)
-            .option("multiLine", multi_line)
-            .option("escape", '"')
-            .option("ignoreCorruptFiles", True)
-            .option("pathGlobFilter", glob)
-            .csv(files)
-        )
-        present = [field for field in schema.fields if field.name in known]
-        failed = F.lit(False)
-        for field in present:
-            failed = failed | (F.col(field.name).isNotNull() & _typed(field).isNull())
-        line = F.concat_ws(",", *[F.coalesce(F.col(f.name), F.lit("")) for f in present])
-        return raw.select(
-            *[_typed(field).alias(field.name) for field in present],
-            F.coalesce(F.col(_CORRUPT), F.when(failed, line)).alias(REJECT_COLUMN),
-            F.col("_metadata.file_path").alias(FILE_COLUMN),
-        )
-
-    if layout is not None:
-        frames = [scan(layout, path)]
-    else:
-        # File names only, as many as the driver lists for any scan of the folder.
-        files_by_header = (
-            _headers(spark, path, glob, required)
-            .groupBy("line")
-            .agg(F.collect_list("file").alias("files"))
-            .collect()
-        )
-        frames = [scan(row["line"].split(","), row["files"]) for row in files_by_header]
-    extra = [StructField(REJECT_COLUMN, StringType()), StructField(FILE_COLUMN, StringType())]
-    empty = spark.createDataFrame([], StructType([*schema.fields, *extra]))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames, empty)
-
-
-def _typed(field: StructField) -> Column:
-    """The text as the field's type, or null; an id that drifted to ``12.0`` is still 12."""
-    text = F.col(field.name)
-    if isinstance(field.dataType, StringType):
-        return text
-    if isinstance(field.dataType, (IntegerType, LongType)):
-        whole = F.regexp_extract(text, r"^\s*([+-]?\d+)(?:\.0*)?\s*\z", 1)
-        return F.when(whole != "", whole.try_cast(field.dataType))
-    return text.try_cast(field.dataType)
+    return read_headed(spark, path, schema, list(required or schema.fieldNames()[:1]), glob, layout)
 
 
 def split_rejects(frame: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows that fitted the schema, and the text of those that did not."""
-    good = frame.where(F.col(REJECT_COLUMN).isNull()).drop(REJECT_COLUMN, FILE_COLUMN)
-    bad = frame.where(F.col(REJECT_COLUMN).isNotNull()).select(REJECT_COLUMN, FILE_COLUMN)
-    return good, bad
+    """Rows that fitted the schema, and the text of those that did not with the reason and the file."""
+    good = frame.where(F.col(REASON_COLUMN).isNull()).drop(*EXTRA)
+    bad = frame.where(F.col(REASON_COLUMN).isNotNull() & ~F.col(REASON_COLUMN).isin(*FILE_REASONS))
+    return good, bad.select(*EXTRA)
 
 
-def unread_files(spark: SparkSession, path: str, frame: DataFrame, glob: str = "*.csv") -> DataFrame:
-    """Files of the folder from which no row came: empty or unreadable ones.
-
-    File names pass through the driver, which has listed them for the scan in any case.
-    """
-    names = spark.read.option("pathGlobFilter", glob).text(path).inputFiles()
-    listed = spark.createDataFrame([(name,) for name in names], "file string")
-    seen = frame.select(F.col(FILE_COLUMN).alias("seen")).distinct()
-
-    def one_form(name: str) -> Column:
-        return F.regexp_replace(name, r"^([a-z0-9]+):/+", "$1:/")
-
-    return listed.join(seen, one_form("file") == one_form("seen"), "left_anti")
+def unread_files(frame: DataFrame) -> DataFrame:
+    """The files that could not be read, or not to their end: ``file``, ``reason`` and ``line``."""
+    whole = frame.where(F.col(REASON_COLUMN).isin(*FILE_REASONS))
+    return whole.select(
+        F.col(FILE_COLUMN).alias("file"), F.col(REASON_COLUMN).alias("reason"), F.col(REJECT_COLUMN).alias("line")
+    )

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from askmill.operators.batches import spread
-
 
 def read_parquet(
     spark: SparkSession, path: str | list[str], columns: Sequence[str] | None = None
@@ -33,7 +31,7 @@ def read_pages(
 ) -> DataFrame:
     """Landed HTML pages: at least ``url`` and ``html``, with ``status`` where recorded.
 
-    Parsing costs far more than reading, so pages stored in a few row groups are dealt
-    over the cores first.
+    A plain scan: pages are not moved before they are parsed. See ``land_pages`` for pages that are
+    joined by their ids.
     """
-    return spread(read_parquet(spark, path, columns))
+    return read_parquet(spark, path, columns)

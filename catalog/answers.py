@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from askmill.plans import answers as A
 from askmill.plans import links as L
-from catalog.registry import SITE, pages_table, query, table
+from askmill.sources import LandedPages, land_pages, landed_pages
+from catalog.registry import SITE, new_database, pages_table, query, table
 
 
 def _escaped(text: Column) -> Column:
@@ -237,6 +238,21 @@ def link_extract(spark: SparkSession, folder: str) -> DataFrame:
     )[0]
 
 
+def landed_questions(spark: SparkSession, folder: str) -> LandedPages:
+    """The question pages in a table by question."""
+    number = F.regexp_extract("url", r"/question/(\d+)", 1).cast("long").alias("question_id")
+    name = f"{new_database(spark)}.question_pages"
+    pages = question_pages(spark, folder).select(number, "url", "html")
+    land_pages(pages, name, ["question_id"], buckets=16, pieces=2)
+    return landed_pages(spark, name)
+
+
+@query(_FOUND + """SELECT "qId", aid, question_title, topic_url FROM found WHERE o_orderstatus <> 'P'""")
+def link_extract_landed(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``link_extract``, from pages in a table by question, which are not moved."""
+    return L.extract_links(topic_pages(spark, folder), landed_questions(spark, folder), _viewed(spark, folder))[0]
+
+
 @query(
     _FOUND
     + """
@@ -284,7 +300,42 @@ FROM found WHERE o_orderstatus <> 'P'
 )
 def topics_to_answers(spark: SparkSession, folder: str) -> DataFrame:
     """Answer records reached from topic pages in one pass."""
-    landed = table(spark, folder, "orders").select(
+    return A.topics_to_answers(
+        topic_pages(spark, folder),
+        question_pages(spark, folder),
+        order_answer_pages(spark, folder),
+        SITE,
+        _viewed(spark, folder),
+    )
+
+
+@query(
+    _FOUND
+    + """
+SELECT "qId" AS question_id, aid AS answer_id,
+       'https://qa.example.com/people/' || o_orderpriority AS author_id, question_title,
+       'Order ' || o_orderkey || ' <' || o_orderpriority || '>' AS content,
+       CAST(length(o_orderpriority) AS VARCHAR) AS upvotes, '' AS answer_creation_time,
+       'https://qa.example.com/question/' || "qId" || '/answer/' || aid AS request_url
+FROM found WHERE o_orderstatus <> 'P'
+"""
+)
+def topics_to_answers_landed(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``topics_to_answers``, with question and answer pages in tables by their ids."""
+    name = f"{new_database(spark)}.answer_pages"
+    land_pages(order_answer_pages(spark, folder), name, ["question_id", "answer_id"], buckets=16, pieces=1)
+    return A.topics_to_answers(
+        topic_pages(spark, folder),
+        landed_questions(spark, folder),
+        landed_pages(spark, name),
+        SITE,
+        _viewed(spark, folder),
+    )
+
+
+def order_answer_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as answer pages."""
+    return table(spark, folder, "orders").select(
         (F.col("o_custkey") + _NEAR).alias("question_id"),
         (F.col("o_orderkey") + _FAR).alias("answer_id"),
         F.concat(
@@ -299,9 +350,6 @@ def topics_to_answers(spark: SparkSession, folder: str) -> DataFrame:
             F.lit("</button></html>"),
         ).alias("html"),
     )
-    return A.topics_to_answers(
-        topic_pages(spark, folder), question_pages(spark, folder), landed, SITE, _viewed(spark, folder)
-    )
 
 
 def roundtable_pages(spark: SparkSession, folder: str) -> DataFrame:

@@ -9,6 +9,7 @@ from askmill.functions.text import strip_text
 from askmill.operators.dedup import keep_first
 from askmill.plans.instructions import (
     MEMBER_COLUMNS,
+    member_answer_misses,
     member_answers,
     member_answers_to_instructions,
     to_instructions,
@@ -203,6 +204,37 @@ def user_answer_instructions(spark: SparkSession, folder: str) -> DataFrame:
     return member_answers_to_instructions(pages, contents, SOURCE)
 
 
+@query("""SELECT o_custkey AS "问题ID", CAST(o_orderkey AS VARCHAR) AS "回答ID" FROM orders WHERE o_orderstatus = 'P'""")
+def user_answer_misses(spark: SparkSession, folder: str) -> DataFrame:
+    """A member's answers whose text was not fetched, where those that were came twice."""
+    fetched = table(spark, folder, "orders").where("o_orderstatus <> 'P'").select(
+        F.col("o_custkey").alias("question_id"),
+        F.col("o_orderkey").alias("answer_id"),
+        F.explode(F.array(F.col("o_orderstatus"), F.col("o_orderpriority"))).alias("content"),
+    )
+    return member_answer_misses(order_api_pages(spark, folder), fetched)
+
+
+@query(
+    """
+SELECT o_orderpriority AS "INSTRUCTION", 'second ' || o_orderkey AS "RESPONSE", 'forum' AS "SOURCE",
+       CAST(json_object('回答点赞数', CAST(length(o_orderpriority) AS BIGINT),
+                        '回答时间', o_orderkey) AS VARCHAR) AS "METADATA"
+FROM orders
+"""
+)
+def user_answer_last_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Answers whose texts were fetched twice: the later fetch counts."""
+    fetch = F.explode(F.array(F.struct(F.lit(2).alias("n"), F.lit("second ").alias("t")), F.struct(F.lit(1).alias("n"), F.lit("word ").alias("t"))))
+    fetched = table(spark, folder, "orders").select("o_custkey", "o_orderkey", fetch.alias("fetch")).select(
+        F.col("o_custkey").alias("question_id"),
+        F.col("o_orderkey").alias("answer_id"),
+        F.concat("fetch.t", F.col("o_orderkey").cast("string")).alias("content"),
+        F.col("fetch.n").alias("fetched"),
+    )
+    return member_answers_to_instructions(order_api_pages(spark, folder), fetched, SOURCE, written="fetched")
+
+
 @query(
     """
 SELECT c_name AS "author.name", CAST(c_custkey AS VARCHAR) AS "author.id",

@@ -10,6 +10,7 @@ from askmill.operators import joins as J
 from askmill.operators.dedup import distinct_rows, distinct_values, keep_first, last_value
 from askmill.operators.filters import drop_null_keys
 from askmill.plans.answers import consolidate
+from askmill.session import work_path
 from catalog.registry import query, table
 
 _LINE_COLUMNS = (
@@ -111,6 +112,22 @@ def stage_metrics(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    """
+SELECT 'lines' AS stage, count(*) AS rows FROM lineitem
+UNION ALL SELECT 'returned', count(*) FROM lineitem WHERE l_returnflag = 'R'
+"""
+)
+def stage_metrics_observed(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows at each stage, counted by the writes of the stages."""
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    seen = {}
+    for stage, frame in (("lines", lines), ("returned", lines.where("l_returnflag = 'R'"))):
+        frame, seen[stage] = C.observed(frame)
+        frame.write.parquet(work_path(spark, stage))
+    return C.observed_metrics(spark, seen)
+
+
 @query(
     """
 SELECT o_custkey, count(DISTINCT o_orderpriority) AS priorities FROM orders GROUP BY o_custkey

@@ -10,7 +10,7 @@ from askmill.functions.clock import elapsed_more_than, from_epoch
 from askmill.functions.jsontext import json_value
 from askmill.functions.text import composed_key, random_hex_id, strip_text
 from askmill.operators.custom import apply_value, map_batches
-from askmill.operators.joins import union_by_name
+from askmill.operators.joins import join_aggregate, union_by_name
 from askmill.sources import map_entries
 from catalog.registry import query, table
 
@@ -26,7 +26,7 @@ def elapsed_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Events more than twenty minutes after their user's first event."""
     events = table(spark, folder, "events").select("event_id", "user_id", "ts")
     first = events.groupBy("user_id").agg(F.min("ts").alias("started"))
-    late = events.join(first, "user_id").where(elapsed_more_than(F.col("started"), F.col("ts")))
+    late = join_aggregate(events, first, ["user_id"]).where(elapsed_more_than(F.col("started"), F.col("ts")))
     return late.select("event_id", "user_id")
 
 

@@ -282,7 +282,7 @@ def test_csv_binds_by_name_and_sets_rows_aside(spark, tmp_path):
     )
     assert [r["_rejected_line"] for r in bad.collect()] == ["zz,4,t,u"]
     assert bad.select("_rejected_line").count() == 1
-    unread = [r["file"] for r in sources.unread_files(spark, str(landing), frame).collect()]
+    unread = [r["file"] for r in sources.unread_files(frame).collect()]
     assert [u.rsplit("/", 1)[1] for u in unread] == ["d.csv"]
 
 
