@@ -16,7 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, IntegralType, LongType, StringType, StructField, StructType
 from pyspark.storagelevel import StorageLevel
 
 from askmill.operators.batches import hash_bucket
@@ -159,7 +159,8 @@ def held_keys(
     first_keys: Sequence = (),
     generations: dict[int, int] | None = None,
 ) -> DataFrame:
-    """The keys the table holds in these buckets; with ``first_keys`` only those whose first column is among them.
+    """The keys the table holds in these buckets; with ``first_keys``, whole numbers, only those whose first column
+    is among them.
 
     The values go into the scan's filter, where statistics and Bloom filters rule out row groups. They go as lists
     of the length the reader takes, put together as a balanced tree: one long list would not be pushed down.
@@ -167,7 +168,8 @@ def held_keys(
     generations = _generations(spark, sink) if generations is None else generations
     held = _laid_out(spark, sink, schema, generations).where(F.col(BUCKET_COLUMN).isin(list(buckets)))
     values, step = sorted(first_keys), max(1, int(spark.conf.get(_LIST_LENGTH)))
-    tests = [F.col(keys[0]).isin(values[n : n + step]) for n in range(0, len(values), step)]
+    lists = (values[n : n + step] for n in range(0, len(values), step))
+    tests = [F.expr(f"`{keys[0]}` IN ({', '.join(map(str, some))})") for some in lists]
     while len(tests) > 1:
         tests = [a | b for a, b in zip(tests[::2], tests[1::2])] + tests[len(tests) // 2 * 2 :]
     return (held.where(tests[0]) if tests else held).select(*keys)
@@ -229,6 +231,8 @@ def ingest_stream(
     """
     keys = list(keys)
     unfinished = _unfinished_batch(stream.sparkSession, checkpoint)
+    # The one writer of the table knows its generations: read once a run, and after a compaction.
+    generations = _generations(stream.sparkSession, sink)
 
     def append(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -266,16 +270,19 @@ def ingest_stream(
                 # A batch that runs again replaces its own rows.
                 bad.write.mode("overwrite").parquet(f"{quarantine or _beside(sink, 'quarantine')}/{place}")
             replayed = batch_id == unfinished
-            generations = _generations(spark, sink)
             before = _laid_out(spark, sink, schema, generations).count() if replayed and metrics else None
             added = 0
             if sizes:
                 good = rows.where(F.col("_reason").isNull())
-                names = []
-                if sum(sizes.values()) <= LOOKUP_LISTS * int(spark.conf.get(_LIST_LENGTH)):
-                    names = [row[0] for row in good.select(keys[0]).distinct().collect()]
-                held = held_keys(spark, sink, schema, keys, list(sizes), names, generations)
-                fresh = without_keys(keep_first(good.select(*data, BUCKET_COLUMN), keys), held, {k: k for k in keys})
+                fresh = keep_first(good.select(*data, BUCKET_COLUMN), keys)
+                system, folder = file_system(spark, sink)
+                if system.exists(folder):
+                    names = []
+                    numbers = isinstance(schema[keys[0]].dataType, IntegralType)
+                    if numbers and sum(sizes.values()) <= LOOKUP_LISTS * int(spark.conf.get(_LIST_LENGTH)):
+                        names = [row[0] for row in good.select(keys[0]).distinct().collect()]
+                    held = held_keys(spark, sink, schema, keys, list(sizes), names, generations)
+                    fresh = without_keys(fresh, held, {k: k for k in keys})
                 fresh = fresh.withColumn(GENERATION_COLUMN, _current(generations))
                 # One file per bucket, or several where a bucket's share of the batch is large.
                 fresh = fresh.hint("rebalance", BUCKET_COLUMN).sortWithinPartitions(*LAYOUT, *keys)
@@ -284,8 +291,8 @@ def ingest_stream(
                 added = seen.get["added"]
             if metrics:
                 _write_metrics(spark, metrics, place, batch_id, added, before)
-            if compact_beyond is not None:
-                compact(spark, sink, keys, compact_beyond)
+            if compact_beyond is not None and compact(spark, sink, keys, compact_beyond):
+                generations.update(_generations(spark, sink))
         finally:
             rows.unpersist()
             if raw is not None:
