@@ -41,6 +41,14 @@ def unmarked_ids(rows: DataFrame) -> DataFrame:
     return rows.withColumn("doc_id", F.when(F.col("doc_id") != NO_ID, F.col("doc_id")))
 
 
+def free_name(frame: DataFrame, name: str) -> str:
+    """The name, or one made longer until the frame has no such column (upper and lower case are one)."""
+    taken = {column.lower() for column in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased and nothing else."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
