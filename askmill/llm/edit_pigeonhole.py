@@ -11,7 +11,8 @@ item's distinct runs of ``SHORT`` characters are counted in the stretch: an edit
 
 Texts and items are compared in lower case with runs of white space as one blank; places are counted
 there. The budget is ``RATE`` of the item's characters, rounded down. Items of fewer than
-``LEAST`` characters are left out: they would stand in texts by chance. Null texts are empty; rows
+``LEAST`` characters are not searched, since they stand in clean texts by chance ("yes", a year); ``unsearched`` lists them,
+so that none is passed over in silence. Null texts are empty; rows
 without item_id or with the same one are separate items.
 
 The items are the query set: they are read in blocks of about ``BLOCK`` characters, each broadcast
@@ -174,6 +175,19 @@ class Matcher:
         return self.masks[number]
 
 
+def unsearched(benchmark: DataFrame) -> DataFrame:
+    """The items too short to be searched: item_id, text, and ``n_chars`` of the folded text."""
+
+    def short(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            size = frame["text"].map(lambda text: len(folded_text(text)))
+            yield frame.assign(n_chars=size)[size < LEAST]
+
+    items = benchmark.select(benchmark["item_id"].cast("string").alias("item_id"), benchmark["text"].alias("text"))
+    found = items.mapInPandas(short, "item_id string, text string, n_chars long")
+    return found.withColumn("item_id", F.col("item_id").cast("long"))
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block: int = BLOCK) -> DataFrame:
     """One row for each document and item that stands in it: doc_id, item_id, distance, start, stop."""
     spark = docs.sparkSession
