@@ -151,7 +151,7 @@ URL_RULES = [
             ('www.example.com/en/', 'www.example.com', '/en/', 'allow'),
             ('net/es/', 'net', '/es/', 'block'), ('net/fr/', 'net', '/fr/', 'block')
     ), fits AS (
-        SELECT page_id, rule, verdict, row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC) AS place
+        SELECT page_id, rule, verdict, row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC, length(host_part) DESC) AS place
         FROM parts JOIN rules
         ON (host = host_part OR ends_with(host, '.' || host_part)) AND starts_with(path, path_part)
     )

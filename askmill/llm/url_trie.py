@@ -1,8 +1,8 @@
 """URL allow and block lists as a trie over reversed host labels and path segments.
 
 A rule is ``host/path``: it fits the host and its subdomains where the URL's path starts with the
-rule's path. The fitting rule with most host labels wins, then the one with the longest path; of
-a rule given both ways, ``block`` wins. The trie travels to the executors as a broadcast value, so
+rule's path. The longest fitting rule wins, host and path together; of equally long ones the one with the longer
+host; of a rule given both ways, ``block`` wins. The trie travels to the executors as a broadcast value, so
 the rules are counted first: more than ``MAX_RULES`` go through a join of the URL's own host
 suffixes with the rules instead, which has the same result.
 
@@ -60,7 +60,9 @@ class HostTrie:
             if node is None:
                 break
             paths = node.get(None)
-            found = paths and self._path(paths, path) or found
+            fits = paths and self._path(paths, path)
+            if fits and (found is None or len(fits[0]) >= len(found[0])):
+                found = fits
         return found
 
     @staticmethod
@@ -137,7 +139,7 @@ def _judge_by_join(place: DataFrame, rules: DataFrame, default: str) -> DataFram
         .agg(
             F.max_by(
                 F.struct("rule", "verdict"),
-                F.struct(F.size(F.split("suffix", r"\.")), F.length("start")),
+                F.struct(F.length("rule"), F.length("suffix")),
             ).alias("found")
         )
         .select("host", "path", F.col("found.rule").alias("rule"), F.col("found.verdict").alias("verdict"))
