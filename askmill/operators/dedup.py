@@ -41,6 +41,25 @@ def keep_first(frame: DataFrame, keys: Sequence[str], order: Sequence[str] = ())
     return first.select(*picked)
 
 
+def keep_first_of_files(frame: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """One row per key of a frame read from Parquet files, its payload fetched only for the rows kept.
+
+    The first row is found on the keys, the columns of ``order`` (nulls first) and the row's address, a hash of the
+    file's path and the place in it, which settles ties: equal for every run over the same files. Only these narrow columns
+    are sorted. The kept rows are then fetched by their addresses; the payload is neither compared nor sorted, so it may
+    hold columns without an order, such as maps.
+    Null keys count as equal to each other. ``frame`` is a scan, with no columns computed.
+    """
+    file, place = F.xxhash64("_metadata.file_path"), F.col("_metadata.row_index")
+    scan = frame.select("*", file.alias("_file"), place.alias("_place"))
+    names = [*order, "_file", "_place"]
+    first = scan.groupBy(*[f"`{k}`" for k in keys]).agg(F.min(F.struct(*[f"`{c}`" for c in names])).alias("_first"))
+    kept = first.select(F.col("_first._file").alias("_file"), F.col("_first._place").alias("_place"))
+    # The kept addresses are hashed and the payload streams past them.
+    found = scan.join(kept.hint("shuffle_hash"), ["_file", "_place"], "left_semi")
+    return found.select(*[f"`{c}`" for c in frame.columns])
+
+
 def last_value(
     frame: DataFrame, keys: Sequence[str], value: Column, order: Column, name: str = "value"
 ) -> DataFrame:

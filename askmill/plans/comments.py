@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from askmill.operators.joins import join_on_shared_key, join_splitting_hot_keys, suffix_overlap
 
+# The suffixes and the columns of the related comments.
 _SUFFIXES = ("_root_comment", "_comment_tree")
 
 _ROOT_COLUMNS = ("id", "content", "author.name", "answer_id")

@@ -19,10 +19,6 @@ def _struct(*fields: tuple) -> StructType:
 
 _LONG, _TEXT = LongType(), StringType()
 
-TOPICS = _struct(("topic_urls", _TEXT), ("basic_topic_category", _TEXT))
-
-ROUNDTABLES = _struct(("round_table_topic_url", _TEXT))
-
 LINKS = _struct(("qId", _LONG), ("aid", _LONG), ("question_title", _TEXT), ("topic_url", _TEXT))
 
 # Votes stay text (they are button captions) and the creation time stays ISO-8601 text.
@@ -72,5 +68,3 @@ API_PAGE = _struct(
 )
 
 BUCKET_MAP = MapType(StringType(), IntegerType())
-
-PAGES = _struct(("page_id", _LONG), ("url", _TEXT), ("html", _TEXT))

@@ -63,6 +63,12 @@ def file_system(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
 
 
+def drop_work(spark: SparkSession) -> None:
+    """Remove all working data of finished jobs from the shared folder; results read from it are gone with it."""
+    system, place = file_system(spark, f"{shared_folder(spark).rstrip('/')}/work")
+    system.delete(place, True)
+
+
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder for a written table or a stream's state."""
     return f"{shared_folder(spark).rstrip('/')}/work/{label}-{uuid.uuid4().hex}"

@@ -225,7 +225,8 @@ def ingest_stream(
     only what is missing.
 
     ``metrics`` receives one row per batch: ``batch_id``, ``added``, ``total``. Added rows are counted by the
-    write itself and the total is carried forward; only a batch that an earlier run left unfinished counts the sink.
+    write itself and the total is carried forward; the sink is counted only where nothing is recorded yet and for a
+    batch that an earlier run left unfinished, which may have added rows.
     With ``compact_beyond`` buckets of more files than that are rewritten after a batch. With ``available_now`` the
     query ends when the landed files are used up.
     """
@@ -269,8 +270,10 @@ def ingest_stream(
                 bad = bad.select(F.col("_reason").alias("reason"), F.col("_row").alias("row"))
                 # A batch that runs again replaces its own rows.
                 bad.write.mode("overwrite").parquet(f"{quarantine or _beside(sink, 'quarantine')}/{place}")
-            replayed = batch_id == unfinished
-            before = _laid_out(spark, sink, schema, generations).count() if replayed and metrics else None
+            recorded = _recorded_total(spark, metrics, place, batch_id) if metrics else None
+            before = recorded
+            if metrics and (recorded is None or batch_id == unfinished):
+                before = _laid_out(spark, sink, schema, generations).count()
             added = 0
             if sizes:
                 good = rows.where(F.col("_reason").isNull())
@@ -290,7 +293,8 @@ def ingest_stream(
                 _key_writer(fresh.observe(seen, F.count("*").alias("added")), keys).parquet(sink)
                 added = seen.get["added"]
             if metrics:
-                _write_metrics(spark, metrics, place, batch_id, added, before)
+                total = before + added
+                _write_metrics(spark, metrics, place, batch_id, total - (before if recorded is None else recorded), total)
             if compact_beyond is not None and compact(spark, sink, keys, compact_beyond):
                 generations.update(_generations(spark, sink))
         finally:
@@ -304,19 +308,16 @@ def ingest_stream(
     return writer.start()
 
 
-def _write_metrics(
-    spark: SparkSession, metrics: str, place: str, batch_id: int, added: int, before: int | None
-) -> None:
-    """Record what a batch added and the table's size; a batch that runs again replaces its own row.
-
-    ``before`` is the table's counted size ahead of the write, for a batch of which a part may have been there.
-    """
+def _recorded_total(spark: SparkSession, metrics: str, place: str, batch_id: int) -> int | None:
+    """The table's size as recorded before this batch; None where nothing is recorded."""
     query = place.split("/")[0].removeprefix("query=")
     log = _read_if_present(spark, metrics, StructType([*_METRICS_SCHEMA.fields, StructField("query", StringType())]))
-    earlier = log.where((F.col("query") != query) | (F.col("batch_id") < batch_id))
-    recorded = earlier.agg(F.coalesce(F.max("total"), F.lit(0))).first()[0]
-    total = (recorded if before is None else before) + added
-    row = spark.createDataFrame([(batch_id, total - recorded, total)], _METRICS_SCHEMA)
+    return log.where((F.col("query") != query) | (F.col("batch_id") < batch_id)).agg(F.max("total")).first()[0]
+
+
+def _write_metrics(spark: SparkSession, metrics: str, place: str, batch_id: int, added: int, total: int) -> None:
+    """Record what a batch added and the table's size; a batch that runs again replaces its own row."""
+    row = spark.createDataFrame([(batch_id, added, total)], _METRICS_SCHEMA)
     row.write.mode("overwrite").parquet(f"{metrics}/{place}")
 
 

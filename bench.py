@@ -8,9 +8,10 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
-from askmill.session import session_builder
+from askmill.session import drop_work, session_builder
 from catalog import QUERIES
 
 HEADLINE = [
@@ -47,6 +48,7 @@ def main() -> None:
         .master(f"local[{cpus}]")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="askmill-bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -71,6 +73,7 @@ def main() -> None:
             }
         )
     )
+    drop_work(spark)
     spark.stop()
 
 

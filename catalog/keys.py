@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from askmill.operators import counts as C
 from askmill.operators import joins as J
-from askmill.operators.dedup import distinct_rows, distinct_values, keep_first, last_value
+from askmill.operators.dedup import distinct_rows, distinct_values, keep_first, keep_first_of_files, last_value
 from askmill.operators.filters import drop_null_keys
 from askmill.plans.answers import consolidate
 from askmill.session import work_path
@@ -50,6 +50,17 @@ def dedup_keep_first(spark: SparkSession, folder: str) -> DataFrame:
     return keep_first(lines, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
 
 
+@query(
+    """
+SELECT * FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber) = 1
+"""
+)
+def dedup_keep_first_late(spark: SparkSession, folder: str) -> DataFrame:
+    """The first line of each order, found on narrow columns; its payload is fetched by address."""
+    return keep_first_of_files(table(spark, folder, "lineitem"), ["l_orderkey"], ["l_shipdate", "l_linenumber"])
+
+
 @query(
     f"""
 SELECT {_LINE_COLUMNS} FROM (SELECT DISTINCT * FROM lineitem)

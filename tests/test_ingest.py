@@ -72,6 +72,11 @@ def test_totals_are_carried_and_a_cut_off_batch_is_counted(spark, tmp_path, monk
     assert [r["total"] for r in log.orderBy("batch_id").collect()][-1] == 60
     assert log.agg(F.sum("added")).first()[0] == 60
 
+    # A table that was there before its metrics were kept is counted once.
+    other = str(tmp_path / "other")
+    ingest_stream(stream(spark, landing), sink, ["a"], str(tmp_path / "again"), metrics=other).awaitTermination()
+    assert {tuple(r) for r in spark.read.parquet(other).select("added", "total").collect()} == {(0, 60)}
+
     # The next batch fails after its rows reached the table and before it is recorded.
     land(spark, landing, [(n, n) for n in range(50, 75)], 1)
     written = ingest._write_metrics

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from askmill import sinks, sources
-from askmill.operators import batches, counts, custom, joins
+from askmill.operators import batches, counts, custom, dedup, joins
 from askmill.operators.dedup import last_value
 from askmill.plans import answers, instructions, links
 from askmill.schemas import API_PAGE
@@ -251,3 +251,28 @@ def test_repeated_texts_add_no_rows_and_misses_are_listed(spark):
     found = instructions.member_answers_to_instructions(pages, texts, "s", written="fetched")
     assert rows(found.select("RESPONSE")) == sorted([("new",), (None,)], key=repr)
     assert rows(instructions.member_answer_misses(pages, texts)) == [(5, "2")]
+
+
+# first rows by address
+
+def test_first_rows_of_files_are_fetched_unsorted(spark, tmp_path):
+    data = [(n % 50 if n % 11 else None, n // 100, n, "x" * n) for n in range(400)]
+    frame = spark.createDataFrame(data, "k long, o long, n long, t string")
+    frame = frame.withColumn("m", F.create_map(F.lit("a"), F.col("n")))
+    frame.repartition(6).write.parquet(str(tmp_path / "in"))
+    scan = spark.read.parquet(str(tmp_path / "in"))
+    found = dedup.keep_first_of_files(scan, ["k"], ["o"])
+    assert found.columns == scan.columns
+    text = plan(found)
+    assert "SortMergeJoin" not in text and "LeftSemi" in text
+    assert not [line for line in text.split("\n") if "Sort" in line and re.search(r"\b[tm]#", line)]
+    kept = [tuple(r)[:4] for r in found.collect()]
+    assert len(kept) == 51 and set(kept) <= set(data)
+    best = {}
+    for k, o, *_ in data:
+        best[k] = min(best.get(k, o), o)
+    assert {k: o for k, o, *_ in kept} == best
+    again = dedup.keep_first_of_files(scan, ["k"], ["o"])
+    assert sorted(tuple(r)[:4] for r in again.where("k IS NOT NULL").collect()) == sorted(x for x in kept if x[0] is not None)
+    total = dedup.keep_first_of_files(scan.drop("m"), ["k"], ["o", "n"])
+    assert rows(total) == rows(dedup.keep_first(scan.drop("m"), ["k"], ["o", "n"]))

@@ -16,7 +16,7 @@ from askmill import sinks
 from askmill.operators import batches, counts, custom, dedup, joins
 from askmill.plans.comments import relate_comments
 from askmill.plans.frontier import pending_answers
-from askmill.session import shared_folder, work_path
+from askmill.session import drop_work, shared_folder, work_path
 from askmill.streaming import dedup_stream, ingest_stream, read_sink, stream_csv
 from catalog.registry import spread
 from askmill.streaming.ingest import LAYOUT
@@ -261,6 +261,15 @@ def test_work_goes_to_the_folder_the_session_names(spark):
     assert work_path(spark, "x").startswith(shared_folder(spark))
 
 
+def test_working_data_can_be_dropped(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("askmill.session.shared_folder", lambda _: str(tmp_path))
+    spark.range(3).write.parquet(work_path(spark, "x"))
+    assert list((tmp_path / "work").iterdir())
+    drop_work(spark)
+    assert not (tmp_path / "work").exists()
+    drop_work(spark)
+
+
 def test_counts(spark):
     frame = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), ("b", None)], "g string, v long")
     assert rows(counts.distinct_count_by(frame, ["g"], "v")) == [("a", 2), ("b", 0)]
