@@ -88,6 +88,20 @@ def test_license_diagonals_bridge_an_inserted_word(spark):
     assert license_scan.scan(frame(spark, [])).count() == 0
 
 
+def test_license_spans_hold_distinct_places_in_order(spark):
+    stutter = "the gnu affero gnu affero general affero general public general public license public license version license version 3"
+    texts = [
+        (1, stutter),
+        (2, "gnu affero general public license version 3"),
+        (3, "gnu affero general public big license version 3"),
+        (4, "gnu affero general gnu affero general gnu affero general gnu affero general gnu affero general"),
+    ]
+    found = {r.doc_id: (r.labels, r.score) for r in license_scan.scan(frame(spark, texts)).collect()}
+    assert found[1][0] == "" and found[2] == ("agpl-3", 1.0) and found[4][0] == "" and found[4][1] < 0.5
+    with pytest.raises(ValueError, match="grams"):
+        license_scan.template_positions(spark, [], [("x", "word " * 80)])
+
+
 # 3: token files
 
 def test_token_files_round_trip(spark, tmp_path):
@@ -198,6 +212,44 @@ def test_repeated_passages_are_found_and_cut(spark):
     assert compact_windows.repeated(frame(spark, [])).count() == 0
 
 
+def test_texts_of_one_doc_id_are_cut_apart_and_names_may_clash(spark):
+    rng = random.Random(8)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    shared = words(70)
+    rows = [(1, " ".join(shared)), (2, " ".join(words(300) + shared)), (2, "short"), (2, " ".join(shared + words(5))), (2, None)]
+    docs = frame(spark, rows).withColumns({name: F.lit("x") for name in ("_spans", "_doc_id", "_text_hash", "key", "a")})
+    found = compact_windows.repeated(docs)
+    assert {(r.doc_id, r.start, r.stop) for r in found.collect()} == {(2, 300, 370), (2, 0, 70)}
+    cut = compact_windows.without_passages(docs, found)
+    assert cut.columns == docs.columns
+    left = sorted(len((r.text or "").split()) for r in cut.collect())
+    assert left == [0, 1, 5, 70, 300]
+
+
+def test_copies_are_combined_before_the_shuffle(spark):
+    """Windows of many copies leave their task as one window and narrow rows that go by document."""
+    rng = random.Random(9)
+    text = " ".join(f"w{rng.randrange(10**6)}" for _ in range(400))
+    docs = frame(spark, [(n, text) for n in range(50)] + [(99, "a b c")]).coalesce(1)
+    names = "key long, doc_id long, place long, head_id long, head_place long, around binary"
+    rows = docs.mapInArrow(compact_windows._windows, names).collect()
+    whole = [r for r in rows if r.around]
+    assert whole and {r.doc_id for r in whole} == {0} and len(rows) == 50 * len(whole)
+    assert all(r.head_id == 0 and r.place == r.head_place for r in rows if not r.around)
+    found = compact_windows.repeated(docs).collect()
+    assert {(r.doc_id, r.source_id, r.start, r.stop) for r in found} == {(n, 0, 0, 400) for n in range(1, 50)}
+
+
+def test_many_classes_of_one_shingle_without_a_shared_stretch():
+    rng = np.random.default_rng(3)
+    marks = rng.integers(1, 256, (200, 2 * compact_windows.SIDE)).astype(np.uint8)
+    assert compact_windows._by_ends(np.arange(200), marks).shape == (0, 2)
+    # The same stretch in many classes: each has a partner before it, whichever the surroundings.
+    marks[:, 20:80] = marks[0, 20:80]
+    found = compact_windows._by_ends(np.arange(200), marks)
+    assert set(found[:, 1]) == set(range(1, 200)) and (found[:, 0] < found[:, 1]).all()
+
+
 def met_and_verified(texts):
     """(a, b) of the texts whose windows meet and hold a passage."""
     rows, arounds = [], []
@@ -334,6 +386,22 @@ def test_edit_matches_equal_brute_force(spark):
     assert edit_pigeonhole.matches(frame(spark, ODD), frame(spark, [], "item_id long, text string")).count() == 0
 
 
+def test_short_items_are_reported(spark):
+    items = frame(spark, [(1, "What is the capital?"), (2, "  A  text of\n more characters than that "), (3, None), (None, "yes")], "item_id long, text string")
+    found = {(r.item_id, r.n_chars) for r in edit_pigeonhole.unsearched(items).collect()}
+    assert found == {(1, 20), (3, 0), (None, 3)}
+    assert edit_pigeonhole.unsearched(items.limit(0)).count() == 0
+
+
+def test_the_longest_rule_wins_in_trie_and_join(spark):
+    rules = [("a.com/very/long/path", "block"), ("x.a.com/", "allow"), ("b.com/12", "block"), ("x.b.com/", "allow")]
+    urls = frame(spark, [(1, "http://x.a.com/very/long/path/1"), (2, "http://x.a.com/very"), (3, "http://x.b.com/123"), (4, None)], "page_id long, url string")
+    want = [(1, "a.com/very/long/path", "block"), (2, "x.a.com/", "allow"), (3, "x.b.com/", "allow"), (4, None, "allow")]
+    for most in (100, 0):
+        found = url_trie.judge(urls, rules, max_rules=most).select("page_id", "rule", "verdict")
+        assert sorted(map(tuple, found.collect())) == want
+
+
 def plain_distance(item, text):
     row = np.arange(len(item) + 1)
     codes = np.array([ord(c) for c in item])
