@@ -3,8 +3,10 @@
 Word k-grams of all texts are hashed and joined with the k-gram positions of the licence templates;
 those that begin with a word which begins no k-gram of a template cannot hit and are left out. A hit at text word p and template word t votes for the diagonal p - t; hits count only
 where the grams themselves are equal, not just their hashes. Votes are summed by diagonal,
-diagonals at most ``SLACK`` apart are merged (an inserted or lost word shifts the diagonal), and a
-merged span with at least ``COVERAGE`` of the template's grams gives the template's label.
+diagonals at most ``SLACK`` apart are merged (an inserted or lost word shifts the diagonal). A merged span is
+verified by the template places it holds, each counted once however often it was hit, and by its length: with at
+least ``COVERAGE`` of the template's grams, in no more words than the template has over ``COVERAGE`` (or ``SLACK``
+more), it gives the template's label.
 A diagonal with all grams of a template is an exact place of its words.
 
 Words are runs outside the ASCII marks, A-Z lower-cased. Null text is empty: no words, no labels.
@@ -20,6 +22,8 @@ from pyspark.sql import functions as F
 from askmill.llm.common import folded, id_and_text, plain_words
 
 GRAM = 3
+#: Places of a template are held as the bits of a long.
+MOST_GRAMS = 63
 SLACK = 2
 COVERAGE = 0.8
 
@@ -59,8 +63,8 @@ def template_positions(spark: SparkSession, base=None, notices=None, gram: int =
     known += [(False, *x) for x in (NOTICES if notices is None else notices)]
     for number, (is_base, label, text) in enumerate(known):
         words = text.split()
-        if len(words) < gram:
-            raise ValueError(f"a template has fewer than {gram} words: {text}")
+        if not gram <= len(words) < gram + MOST_GRAMS:
+            raise ValueError(f"a template has fewer than {gram} words or more than {MOST_GRAMS} grams: {text}")
         for place in range(len(words) - gram + 1):
             rows.append((number, is_base, label, len(words) - gram + 1, place, " ".join(words[place : place + gram])))
     frame = spark.createDataFrame(
@@ -114,6 +118,7 @@ def scan(docs: DataFrame, base=None, notices=None, gram: int = GRAM, coverage: f
             F.max("doc_id").alias("doc_id"),
             F.max("n_words").alias("n_words"),
             F.count(F.when(hit, 1)).alias("votes"),
+            F.bit_or(F.when(hit, F.expr("shiftleft(1L, t_place)"))).alias("held"),
             F.min(F.when(hit, F.col("place"))).alias("start"),
             F.max(F.when(hit, F.col("place") + gram)).alias("stop"),
         )
@@ -131,15 +136,18 @@ def scan(docs: DataFrame, base=None, notices=None, gram: int = GRAM, coverage: f
             F.count(F.when(F.col("whole"), 1)).alias("places"),
             F.min(F.when(F.col("whole"), F.col("diagonal"))).alias("first"),
             F.max(F.when(F.col("whole"), F.col("diagonal"))).alias("last"),
-            F.sum("votes").alias("votes"),
+            F.bit_count(F.bit_or("held")).alias("held"),
             F.min("start").alias("start"),
             F.max("stop").alias("stop"),
         )
+        .withColumn("t_words", F.col("grams") + gram - 1)
+        .withColumn("most", F.greatest(F.floor(F.col("t_words") / coverage), F.col("t_words") + SLACK))
         .withColumn(
             "covered",
             # A base phrase is short: only all of its words in a row count, never a merged part.
             F.when(F.col("is_base"), (F.col("places") > 0).cast("double")).when(
-                F.col("template").isNotNull(), F.least(F.lit(1.0), F.col("votes") / F.col("grams"))
+                F.col("template").isNotNull() & (F.col("stop") - F.col("start") <= F.col("most")),
+                F.col("held") / F.col("grams"),
             ),
         )
         .withColumn("found", F.coalesce(F.col("covered") >= coverage, F.lit(False)))
