@@ -180,10 +180,10 @@ def op11_quality_trees(spark: SparkSession, folder: str) -> DataFrame:
     """
     WITH v AS (
         SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-            list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS whole
+            list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS whole
         FROM embeddings
         WHERE label IS NOT NULL AND embedding IS NOT NULL
-            AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     ), scored AS (
         SELECT a.vec_id AS anchor_id, a.label AS anchor_label, v.vec_id, v.label,
             list_dot_product(a.whole, v.whole)::BIGINT AS score
