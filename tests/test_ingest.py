@@ -208,3 +208,17 @@ def test_csv_without_line_breaks_is_split(spark, tmp_path):
     found = stream_csv(spark, path, spark.createDataFrame([], "a long").schema, multi_line=False)
     ingest_stream(found, str(tmp_path / "sink"), ["a"], str(tmp_path / "state")).awaitTermination()
     assert rows(read_sink(spark, str(tmp_path / "sink"))) == [(n,) for n in range(10)]
+
+
+def test_first_seen_state_calls_no_python_and_gives_on_only_what_is_less(spark, tmp_path):
+    landing, out, schema = str(tmp_path / "in"), str(tmp_path / "out"), "k long, place long, m map<string,long>"
+    land(spark, landing, [], 1, schema)
+    found = first_seen_stream(stream(spark, landing, schema), ["k"], ["place"])
+    assert "TransformWithState" not in found._jdf.queryExecution().analyzed().toString()
+    for n, batch in enumerate([[(1, 5, {"a": 1}), (1, 4, {"a": 2}), (2, 3, None)], [(1, 4, {"a": 3}), (2, 2, None)], [(1, 9, {}), (None, 0, {})]]):
+        land(spark, landing, batch, 1, schema)
+        writer = found.writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / "state"))
+        keep = writer.foreachBatch(lambda part, _, n=n: part.write.mode("overwrite").parquet(f"{out}/batch={n}"))
+        keep.trigger(availableNow=True).start().awaitTermination()
+    given_on = spark.read.parquet(out).selectExpr("batch", "k", "place", "m['a'] AS a")
+    assert rows(given_on) == sorted([(0, 1, 4, 2), (0, 2, 3, None), (1, 2, 2, None)], key=repr)
