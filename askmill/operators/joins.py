@@ -164,6 +164,18 @@ def join_aggregate(frame: DataFrame, aggregate: DataFrame, keys: Sequence[str],
     return joined.select(*map(_quoted, [*frame.columns, *rest]))
 
 
+def join_spread(frame: DataFrame, values: DataFrame, keys: Sequence[str], pieces: int = 64) -> DataFrame:
+    """Left join with a narrow side that holds each key once, every key of the frame dealt over ``pieces`` tasks.
+
+    Each row of ``values`` is repeated for the pieces. No key is counted first and nothing is left to adaptive
+    execution, so wide rows of one key, also of a null one, stay apart under any settings.
+    """
+    left = frame.withColumn("_piece", _stable_piece(frame, pieces).cast("int"))
+    right = values.withColumn("_piece", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))))
+    rest = [c for c in values.columns if c not in keys]
+    return left.join(right, [*keys, "_piece"], "left").select(*map(_quoted, [*frame.columns, *rest]))
+
+
 def lookup(frame: DataFrame, values: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add the columns of ``values`` by key; a key without an entry gives nulls.
 

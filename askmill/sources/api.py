@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from askmill.operators.joins import join_aggregate
+from askmill.operators.joins import join_spread
 from askmill.schemas import API_PAGE
 
 # Fixed value: answers to a page.
@@ -44,7 +44,8 @@ def kept_pages(pages: DataFrame, max_count: int | None = None) -> DataFrame:
         )
         .where("void_at IS NOT NULL OR stop_at IS NOT NULL")
     )
-    joined = join_aggregate(pages, stops, ["member"], "left")
+    # One member may hold all pages: they are spread whatever their number, and only the stops are repeated.
+    joined = join_spread(pages, stops, ["member"])
     voided = F.col("void_at").isNotNull() & (
         F.col("stop_at").isNull() | (F.col("void_at") < F.col("stop_at"))
     )

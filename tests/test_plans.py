@@ -77,6 +77,24 @@ def test_a_hot_member_is_split(spark, splitting):
     assert kept.count() == 59_001
 
 
+def test_a_member_with_all_pages_is_spread_whatever_the_settings(spark):
+    page = F.struct(F.lit(50_000).cast("long").alias("totals")).alias("paging")
+    item = API_PAGE["data"].dataType.elementType
+    data = F.from_json(F.lit('[{"url": "u"}]'), "array<" + item.simpleString() + ">").alias("data")
+    for member in (F.lit("m1"), F.lit(None).cast("string")):
+        pages = hot(spark).select(member.alias("member"), F.col("v").alias("offset"), page, data, "t")
+        before = {c: spark.conf.get(c, None) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")}
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            assert largest_share(kept_pages(pages), "true") < 0.5
+        finally:
+            for key, value in before.items():
+                spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    some = hot(spark).select(F.lit("m1").alias("member"), F.col("v").alias("offset"), page, data)
+    assert kept_pages(some).count() == 50_000
+
+
 def test_a_hot_user_is_split_by_the_elapsed_filter(spark, splitting):
     frame = hot(spark)
     first = frame.groupBy("k").agg(F.min("v").alias("started"))
