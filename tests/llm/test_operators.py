@@ -311,6 +311,19 @@ def test_short_passages_with_one_change_are_found_as_by_brute_force():
     assert held >= 280 and not missed
 
 
+def test_every_link_between_some_variants_of_a_passage_is_found():
+    rng = random.Random(31)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    whole, texts = words(60), []
+    for n in range(24):
+        changed = list(whole)
+        changed[n % 3] = changed[-1 - n % 5] = f"q{n}"
+        texts.append(" ".join(words(40) + changed + words(40)))
+    sets = [compact_windows.rolled(compact_windows.word_hashes(t)) for t in texts]
+    every = {(a, b) for b in range(24) for a in range(b) if compact_windows.passages(sets[a], sets[b], [0])}
+    assert len(every) > 200 and met_and_verified(texts) == every
+
+
 # 8: pieces
 
 def test_pieces_equal_sentencepiece_on_whole_texts(spark):
