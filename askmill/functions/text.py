@@ -58,13 +58,17 @@ def decode_entities(text: Column, bare_names: bool = True) -> Column:
     give U+FFFD, those of control characters nothing.
     """
     names = f"|(?:{'|'.join(_BARE)})" if bare_names else ""
-    pattern = F.lit(rf"&(?:#[0-9]++;?|#[xX][0-9a-fA-F]++;?|[A-Za-z][A-Za-z0-9]*+;{names})")
+    # The text up to a reference and the reference, or the rest: a split would compile its pattern for every row.
+    reference = rf"&(?:#[0-9]++;?|#[xX][0-9a-fA-F]++;?|[A-Za-z][A-Za-z0-9]*+;{names})"
+    pattern = F.lit(rf"(?s)(.*?)({reference}|\z)")
 
     def decoded(value: Column) -> Column:
         parts = F.zip_with(
-            F.split(value, pattern, -1),
-            F.regexp_extract_all(value, pattern, F.lit(0)),
-            lambda plain, found: F.concat(plain, F.coalesce(_character(found), F.lit(""))),
+            F.regexp_extract_all(value, pattern, F.lit(1)),
+            F.regexp_extract_all(value, pattern, F.lit(2)),
+            lambda plain, found: F.when(found == "", plain).otherwise(
+                F.concat(plain, F.coalesce(_character(found), F.lit("")))
+            ),
         )
         return F.array_join(parts, "")
 

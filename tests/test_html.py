@@ -7,6 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from askmill.functions import html as H
+from askmill.functions.text import decode_entities
 from askmill.plans.answers import BLOCK_PAGE_MARK, EMPTY_PAGE_TEXT, extract_answers, read_answers
 from askmill.plans.links import answer_links, extract_links, page_links, questions_not_landed, region_links
 
@@ -205,3 +206,10 @@ def test_a_page_without_a_title_is_set_aside(spark):
     links, aside = answer_links(pages)
     assert links.count() == 0
     assert aside.count() == 1
+
+
+def test_decoding_compiles_no_pattern_for_each_row(spark):
+    texts = ["a &amp; b&lt;", "&", "&&amp;&", "no\n&nope; &#65;x", "", "&copy", None]
+    decoded = spark.createDataFrame([(t,) for t in texts], "t string").select(decode_entities(F.col("t")).alias("d"))
+    assert "split(" not in decoded._jdf.queryExecution().analyzed().toString()
+    assert [r["d"] for r in decoded.collect()] == ["a & b<", "&", "&&&", "no\n&nope; Ax", "", "©", None]
