@@ -11,7 +11,8 @@ The model file is a protobuf message, read here field by field. From it the part
 No piece of a usual model has a mark behind another character, so a text falls into chunks, each
 a run of marks with what follows, that are encoded on their own. This is looked up in the
 vocabulary; a model with such pieces is encoded whole. Chunks recur, so each Python worker keeps
-the ids of those it has met, and the new ones of a batch are encoded together by the library's threads.
+the ids of those it has met for its next tasks of the query, until it is given another query's task; the new
+ones of a batch are encoded by the library's threads, ``TOGETHER`` at a time.
 
 Parity: every new chunk is also encoded by the sentencepiece library, and every whole text's ids are
 decoded by it and compared with the decoding here, which joins the pieces' bytes and leaves ids
@@ -34,6 +35,8 @@ from askmill.llm.common import by_characters, id_and_text, marked_ids, unmarked_
 
 MARK = "▁"
 CHARACTERS, CHUNKS = 1 << 20, 500_000
+#: Chunks the two libraries encode at once: what they make of them takes far more memory than the ids.
+TOGETHER = 2048
 
 # Types of pieces and of models, and field numbers, in the published message format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -152,7 +155,9 @@ class Codec:
         #: Single blanks between words: cutting there is the same, and quicker.
         self.quick = self.plain and self.chunk is not None and self.model.dummy_prefix
         self.peer = sentencepiece.SentencePieceProcessor(model_proto=data)
-        self.known: dict[str, tuple[bytes, bool]] = {}
+        self.known: dict[str, bytes] = {}
+        #: Of the known chunks, those that the peer encodes otherwise.
+        self.unlike: set[str] = set()
         byte = re.compile("<0x([0-9A-F]{2})>")
         self.spelled = [
             bytes.fromhex(found[1]) if (found := byte.fullmatch(p)) else p.replace(MARK, " ").encode()
@@ -173,7 +178,9 @@ class Codec:
         }
         peers = dict(zip(asked, self.peer.encode(list(asked.values()), num_threads=1), strict=True))
         for n, (chunk, own) in enumerate(zip(chunks, ids, strict=True)):
-            self.known[chunk] = (np.array(own, "<u4").tobytes(), peers.get(n, own) == own)
+            self.known[chunk] = np.array(own, "<u4").tobytes()
+            if peers.get(n, own) != own:
+                self.unlike.add(chunk)
 
     def _chunks(self, text: str) -> list[str]:
         if self.quick and text and MARK not in text and "  " not in text and text[0] != " " != text[-1]:
@@ -185,12 +192,12 @@ class Codec:
         cut = [self._chunks(t) for t in texts]
         if len(self.known) > CHUNKS:
             self.known.clear()
+            self.unlike.clear()
         new = list(set().union(*cut).difference(self.known))
-        if new:
-            self._met(new)
+        for start in range(0, len(new), TOGETHER):
+            self._met(new[start : start + TOGETHER])
         known = self.known
-        found = [[known[c] for c in chunks] for chunks in cut]
-        return [b"".join([x for x, _ in f]) for f in found], [all([y for _, y in f]) for f in found]
+        return [b"".join([known[c] for c in chunks]) for chunks in cut], [self.unlike.isdisjoint(chunks) for chunks in cut]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         """Pieces joined as bytes; ids that make no valid text go through the library's decoder."""
@@ -204,14 +211,27 @@ class Codec:
         return text[1:] if self.model.dummy_prefix and text[:1] == " " else text
 
 
-_CODECS: dict[str, Codec] = {}
+def codec(path: str) -> Codec:
+    return Codec(path)
 
 
-def codec(path: str) -> Codec:
-    """One for each Python worker and model, so that known chunks outlive a task."""
-    if path not in _CODECS:
-        _CODECS[path] = Codec(path)
-    return _CODECS[path]
+class SharedCodec:
+    """A model's path, to be broadcast; the codec is made where it is first asked for.
+
+    A Python worker holds a broadcast's value over the tasks that use it and lets it go with the first task that does
+    not. So known chunks outlive a task, but take no memory from the worker's later stages.
+    """
+
+    def __init__(self, path: str):
+        self.path, self.made = path, None
+
+    def __getstate__(self) -> dict:
+        return {"path": self.path, "made": None}
+
+    def codec(self) -> Codec:
+        if self.made is None:
+            self.made = codec(self.path)
+        return self.made
 
 
 def encode(docs: DataFrame, model: str) -> DataFrame:
@@ -219,16 +239,17 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
 
     ``model`` is a path that all executors can read.
     """
+    shared = docs.sparkSession.sparkContext.broadcast(SharedCodec(model))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = codec(model)
+        own = shared.value.codec()
         for frame in frames:
             texts = frame["text"].tolist()
             for start, stop in by_characters(texts, CHARACTERS):
                 tokens, same = own.encode(texts[start:stop])
                 ids = [np.frombuffer(t, "<u4").tolist() for t in tokens]
                 decoded = own.decode(ids)
-                peers = own.peer.decode(ids)
+                peers = own.peer.decode(ids, num_threads=1)
                 yield pd.DataFrame(
                     {
                         "doc_id": frame["doc_id"].iloc[start:stop].to_numpy(),

@@ -347,6 +347,38 @@ def test_joined_bytes_decode_like_the_library():
     assert codec.decode(lists) == codec.tokenizer.decode_batch(lists, skip_special_tokens=False)
 
 
+def test_chunks_are_encoded_some_at_a_time():
+    codec = piece_codec.codec(queries.tokenizer_file("piece_bpe_32k.model"))
+    tokenizer, met = codec.tokenizer, []
+
+    class Counted:
+        def encode_batch_fast(self, chunks, **options):
+            met.append(len(chunks))
+            return tokenizer.encode_batch_fast(chunks, **options)
+
+    codec.tokenizer = Counted()
+    text = " ".join(f"w{n}x{n * 7919 % 10007}" for n in range(9000))
+    tokens, parity = codec.encode([text, "", text])
+    assert sum(met) == 9000 and max(met) <= 2048
+    assert np.frombuffer(tokens[0], "<u4").tolist() == codec.peer.encode(text) and tokens[::2] == [tokens[0]] * 2
+    assert tokens[1] == b"" and parity == [True] * 3
+
+
+def test_a_worker_keeps_no_codec_for_other_tasks(spark):
+    path = queries.tokenizer_file("piece_bpe_32k.model")
+
+    def held(frames):
+        import gc
+
+        gc.collect()
+        for rows in frames:
+            yield rows.assign(id=sum(type(x).__name__ == "Codec" for x in gc.get_objects()))
+
+    rows = frame(spark, [(n, f"some words {n}") for n in range(64)]).repartition(16)
+    assert piece_codec.encode(rows, path).where("parity").count() == 64
+    assert spark.range(0, 16, 1, 16).mapInPandas(held, "id long").agg(F.sum("id")).head()[0] == 0
+
+
 # 9: URLs
 
 def test_trie_equals_plain_rules_and_the_join(spark):
