@@ -324,6 +324,103 @@ def test_every_link_between_some_variants_of_a_passage_is_found():
     assert len(every) > 200 and met_and_verified(texts) == every
 
 
+def variants(rng, count):
+    """Texts that hold a passage with two changes each, and what brute force finds in them."""
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    whole, line, texts = words(60), words(26), []
+    for n in range(count):
+        changed = list(whole)
+        changed[n % 3] = changed[-1 - n % 5] = f"q{n}"
+        texts.append(" ".join(words(40) + changed + words(40) + line + words(30)))
+    sets = [compact_windows.rolled(compact_windows.word_hashes(t)) for t in texts]
+    return texts, {(a, b) for b in range(count) for a in range(b) if compact_windows.passages(sets[a], sets[b], [0])}
+
+
+def test_every_link_between_many_variants_of_a_passage_is_found(spark):
+    texts, every = variants(random.Random(32), 120)
+    assert len(every) > 5000 and met_and_verified(texts) == every
+    found = compact_windows.repeated(frame(spark, list(enumerate(texts)))).collect()
+    assert {(r.source_id, r.doc_id) for r in found} == every
+
+
+def test_all_fitting_pairs_of_many_classes_as_one_by_one():
+    rng = np.random.default_rng(4)
+    marks = rng.integers(0, 256, (300, 2 * compact_windows.SIDE)).astype(np.uint8)
+    docs = np.sort(rng.integers(0, 200, 300))
+    for n in range(1, 300):
+        start, stop = rng.integers(0, 60), rng.integers(60, 92)
+        marks[n, start:stop] = np.roll(marks[rng.integers(0, n)], rng.integers(-2, 3))[start:stop]
+    late, early = np.tril_indices(300, -1)
+    same = marks[early] == marks[late]
+    for n in (1, 2):
+        same[:, n:] |= marks[early][:, :-n] == marks[late][:, n:]
+        same[:, :-n] |= marks[early][:, n:] == marks[late][:, :-n]
+    same &= marks[late] != 0
+    most = np.max([same[:, s : s + compact_windows.LEAST].sum(axis=1) for s in range(1, compact_windows.SIDE + 1)], axis=0)
+    fits = (most >= compact_windows.AGREE) & (docs[early] != docs[late])
+    assert fits.sum() > 300
+    assert sorted(map(tuple, compact_windows._by_ends(docs, marks).tolist())) == sorted(zip(early[fits].tolist(), late[fits].tolist()))
+
+
+def test_classes_of_a_common_shingle_are_dealt_in_blocks(monkeypatch):
+    """Blocks compared by other tasks give the pairs that one task gives, with the copies a document holds itself."""
+    rng = random.Random(33)
+    texts, _ = variants(rng, 100)
+    texts += [f"{texts[3]} {texts[3]}", f"{texts[70]} {texts[70]}", texts[5]]
+    table = compact_windows.pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    # Not combined: copies are met as in different tasks.
+    windows = compact_windows.pa.Table.from_batches(
+        batch for n in range(len(texts)) for batch in compact_windows._windows([table.slice(n, 1)])
+    ).sort_by([("key", "ascending"), ("doc_id", "ascending"), ("place", "ascending")])
+    batches = windows.combine_chunks().to_batches(max_chunksize=77)
+
+    def triples(rows):
+        found = set()
+        for row in rows:
+            a, b, diagonal = (x.view(np.int64) for x in compact_windows._unpacked(row["data"]))
+            a, b = np.cumsum(a), np.cumsum(b)
+            assert set(row["docs"]) == set(a.tolist()) | set(b.tolist())
+            found |= set(zip(a.tolist(), b.tolist(), diagonal.tolist()))
+        return found
+
+    as_rows = lambda found: [row for batch in found for row in batch.to_pylist()]
+    whole = as_rows(compact_windows._meet(iter(batches), 3))
+    assert all(row["part"] >= 0 for row in whole)
+    monkeypatch.setattr(compact_windows, "BLOCK", 16)
+    monkeypatch.setattr(compact_windows, "TOGETHER", 100)
+    met = as_rows(compact_windows._meet(iter(batches), 3))
+    dealt = [row for row in met if row["part"] < 0]
+    assert len(dealt) > 20
+    batch = compact_windows.pa.RecordBatch.from_pylist(dealt, schema=compact_windows._MET)
+    met = [row for row in met if row["part"] >= 0] + as_rows(compact_windows._compare(iter([batch]), 3))
+    assert triples(met) == triples(whole)
+
+
+def test_passages_of_many_pairs_are_those_of_each():
+    rng = random.Random(34)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    whole, texts = words(70), []
+    for n in range(30):
+        changed = list(whole)
+        for _ in range(n % 4):
+            changed[rng.randrange(70)] = f"q{n}"
+        more = ["of"] * rng.randrange(40, 90) + words(5) + ["is", "on"] * 30
+        texts.append((n // 2 if n < 10 else n, n, " ".join(words(n % 7) + changed + more[: 50 * (n % 5)])))
+    texts += [(7, 7, "short"), (8, 8, "")]
+    met = sorted({(a, b, d) for b in range(30) for a in range(b) for d in (rng.randrange(-9, 9), rng.randrange(-99, 99))})
+    ids = {t[0] for t in texts}
+    a, b, diagonal = np.array([m for m in met if m[0] in ids and m[1] in ids]).T
+    found = [tuple(row.values()) for batch in compact_windows._Texts(texts).verified(a, b, diagonal) for row in batch.to_pylist()]
+    want = set()
+    hashes = lambda text: compact_windows.rolled(compact_windows.word_hashes(text))
+    for one, two in {(x, y) for x, y, _ in met if x in ids and y in ids}:
+        lines = [d for x, y, d in met if (x, y) == (one, two)]
+        for _, _, text in (t for t in texts if t[0] == one):
+            for _, text_hash, other in (t for t in texts if t[0] == two):
+                want |= {(two, text_hash, one, *p) for p in compact_windows.passages(hashes(text), hashes(other), lines)}
+    assert len(found) == len(set(found)) > 100 and set(found) == want
+
+
 # 8: pieces
 
 def test_pieces_equal_sentencepiece_on_whole_texts(spark):
