@@ -408,6 +408,7 @@ def test_passages_of_many_pairs_are_those_of_each():
         texts.append((n // 2 if n < 10 else n, n, " ".join(words(n % 7) + changed + more[: 50 * (n % 5)])))
     texts += [(7, 7, "short"), (8, 8, "")]
     met = sorted({(a, b, d) for b in range(30) for a in range(b) for d in (rng.randrange(-9, 9), rng.randrange(-99, 99))})
+    met = sorted({*met, *((a, b, d) for a in (1, 12, 13) for b in (14, 18, 19, 24) for d in range(-80, 80, rng.choice((3, 7))))})
     ids = {t[0] for t in texts}
     a, b, diagonal = np.array([m for m in met if m[0] in ids and m[1] in ids]).T
     found = [tuple(row.values()) for batch in compact_windows._Texts(texts).verified(a, b, diagonal) for row in batch.to_pylist()]
@@ -419,6 +420,11 @@ def test_passages_of_many_pairs_are_those_of_each():
             for _, text_hash, other in (t for t in texts if t[0] == two):
                 want |= {(two, text_hash, one, *p) for p in compact_windows.passages(hashes(text), hashes(other), lines)}
     assert len(found) == len(set(found)) > 100 and set(found) == want
+    same = [(n, n, "of " * 500) for n in (1, 2)]
+    a, b, diagonal = np.array([(1, 2, d) for d in range(-99, 99)]).T
+    found = [row for batch in compact_windows._Texts(same).verified(a, b, diagonal) for row in batch.to_pylist()]
+    text = hashes(same[0][2])
+    assert [(r["start"], r["stop"], r["source_start"], r["source_stop"], r["similarity"]) for r in found] == compact_windows.passages(text, text, range(-99, 99))
 
 
 # 8: pieces
